@@ -6,6 +6,7 @@ import ipaddress
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = "^" + r"\.".join([OCTET] * 4) + "$"
@@ -110,7 +111,7 @@ def ip_version(ip: Column) -> Column:
     return F.when(ip.rlike(IPV4), 4).when(canonical_ipv6(ip).isNotNull(), 6)
 
 
-@F.udf("string")
+@F.udf(StringType())
 def _ipv6(ip):
     try:
         return str(ipaddress.IPv6Address(ip))

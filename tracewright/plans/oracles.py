@@ -1,2 +1,5 @@
-"""DuckDB SQL of the queries, by name."""
-ORACLES = {}
+"""DuckDB SQL of the queries that SQL can express, by name."""
+
+from . import analytics
+
+ORACLES = {**analytics.ORACLES}

@@ -1,2 +1,5 @@
-"""Queries over the driver tables, by name."""
-QUERIES = {}
+"""All queries of the library by name: (spark, sf_dir) → DataFrame."""
+
+from . import analytics
+
+QUERIES = {**analytics.QUERIES}
