@@ -11,13 +11,16 @@ is at least 0.8 (for sets of shingles that is the Jaccard similarity).
    earliest. A text's shingles are dropped once they arrive after its latest
    register (early termination). All texts of a batch run at once.
 2. Texts with equal words collapse to one node. Bands of registers make buckets.
-   In each bucket every node is paired with the bucket's smallest node (its hub),
-   so pairs grow with the members, not with their square.
+   In each bucket every node is paired with the bucket's hub, so pairs grow with
+   the members, not with their square. The hub is the node with the largest sum of
+   its buckets' sizes: an original shares more buckets with its edited copies than
+   these share with each other.
 3. Pairs are verified on the texts themselves. Links make components.
 4. A bucket of three or more nodes that still lie in different components may hide
-   links between members that its hub does not resemble. There, members of
-   different components are paired, verified, and the components updated. Pairs
-   inside a component can change nothing and are never made.
+   links between members that its hub does not resemble. Such buckets are compared
+   in blocks of bounded size: a task holds the shingles of two blocks, compares a
+   node with all nodes of other components at once, and returns only links that
+   join components. No pair is ever a row.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from ._common import Memo, staged, table
 
 WORDS = re.compile(r"\w+")
 SHINGLE, REGISTERS, ROWS, SIMILARITY = 5, 120, 5, 0.8
-BATCH_SHINGLES = 200_000
+BATCH_SHINGLES, BLOCK = 200_000, 512
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -150,12 +153,10 @@ def sign(docs: DataFrame, m: int = REGISTERS, rows: int = ROWS) -> DataFrame:
     return src.mapInArrow(run, f"doc_id {src.dtypes[0][1]}, node binary, bands array<long>")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts are similar enough. ``nodes`` names a
-    document of each node; a repeated id may have other texts, which are told
-    apart by the node key."""
-    need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", F.col("rep").alias("__rep")), "node")
-    need = staged(need, "near-need")
+def node_texts(need: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the nodes in ``need``. ``nodes`` names a document of each; a
+    repeated id may have other texts, which are told apart by the node key."""
+    need = staged(need.distinct().join(nodes.select("node", F.col("rep").alias("__rep")), "node"), "near-need")
     texts = docs.select(F.col("doc_id").alias("__id"), docs["text"].cast("string").alias("__text"))
     ids = need.select("__rep").distinct()
 
@@ -167,12 +168,17 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float =
                 w = sh.words(t)
                 keys.append(k)
                 seen.append(hashlib.blake2b(w.tobytes(), digest_size=16).digest() if len(w) else None)
-            same = pa.array([a == s for a, s in zip(keys, seen)])
+            same = pa.array([a == s for a, s in zip(keys, seen)], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["node", "text"]).filter(same)
 
     found = texts.join(ids, texts["__id"].eqNullSafe(ids["__rep"]), "left_semi")
     found = need.join(found, need["__rep"].eqNullSafe(found["__id"])).select("node", F.col("__text").alias("text"))
-    one = staged(found.mapInArrow(run, "node binary, text string").groupBy("node").agg(F.min("text").alias("text")), "near-texts")
+    return found.mapInArrow(run, "node binary, text string").groupBy("node").agg(F.min("text").alias("text"))
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The (a, b) of ``pairs`` whose texts are similar enough."""
+    one = staged(node_texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), nodes, docs), "near-texts")
 
     def compare(batches):
         sh, last, held = shingler(), None, None
@@ -189,6 +195,59 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float =
     return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a binary, b binary")
 
 
+def block_links(table: pa.Table, least: float = SIMILARITY) -> pa.Table:
+    """Links that join components within one group of rows (node, root, block, own,
+    hashes, counts); with two blocks, only between these."""
+    nodes, root, block = table["node"].to_pylist(), table["root"].to_pylist(), table["block"].to_pylist()
+    sets = [(np.frombuffer(h, np.uint64), np.frombuffer(c, np.float32).astype(float)) for h, c in zip(table["hashes"].to_pylist(), table["counts"].to_pylist())]
+    size = np.array([len(h) for h, _ in sets])
+    unit = np.array([(c == 1).all() for _, c in sets])
+    names, flat = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
+    share = np.concatenate([c / c.sum() for _, c in sets])
+    starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+    ids = {r: k for k, r in enumerate(dict.fromkeys(root))}
+    comp = np.array([ids[r] for r in root])
+    part, two = np.array([b == block[0] for b in block]), len(set(block)) > 1
+    own: list[tuple] = []
+    hit, p = np.zeros(len(names), bool), np.zeros(len(names))
+    most = np.bincount(comp).argmax()
+    for i in np.flatnonzero(comp != most) if not two else range(len(nodes)):
+        if two and comp[i] == most and (comp == most).all():
+            break
+        other = (comp != comp[i]) & ((part != part[i]) if two else True)
+        if not other.any():
+            continue
+        mine = flat[starts[i] : starts[i] + size[i]]
+        hit[mine], p[mine] = True, share[starts[i] : starts[i] + size[i]]
+        both = np.add.reduceat(hit[flat].astype(np.int64), starts)
+        jaccard = both / (size + size[i] - both)
+        bound = np.add.reduceat(np.minimum(p[flat], share), starts)  # never below the similarity
+        hit[mine], p[mine] = False, 0.0
+        sure = unit & unit[i]
+        for j in np.flatnonzero(other & np.where(sure, jaccard >= least, bound >= least - 1e-9)):
+            if comp[j] == comp[i] or not sure[j] and probability_jaccard(sets[i], sets[j]) < least:
+                continue
+            own.append((nodes[i], nodes[j]))
+            comp[comp == comp[j]] = comp[i]
+    return pa.table({"a": pa.array([x[0] for x in own], pa.binary()), "b": pa.array([x[1] for x in own], pa.binary())})
+
+
+def torn_links(rest: DataFrame, nodes: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Links in buckets (band, node, root, size) whose nodes lie in different components."""
+
+    def sets(batches):
+        sh = shingler()
+        for b in batches:
+            got = [sh.shingles(sh.words(t)) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h.tobytes() for h, _ in got], pa.binary()), pa.array([c.astype(np.float32).tobytes() for _, c in got], pa.binary())], ["node", "hashes", "counts"])
+
+    held = staged(node_texts(rest.select("node"), nodes, docs).mapInArrow(sets, "node binary, hashes binary, counts binary"), "near-sets")
+    n = F.ceil(F.col("size") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("node"), n.cast("long")).cast("int")
+    cells = rest.select("band", "node", "root", mine.alias("block"), F.explode(F.sequence(F.lit(0), n - 1)).alias("__o")).select("band", "node", "root", "block", F.least("block", "__o").alias("i"), F.greatest("block", "__o").alias("j"))
+    return cells.join(held, "node").groupBy("band", "i", "j").applyInArrow(lambda t: block_links(t, least), "a binary, b binary")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node → smallest node of its component, by alternating large and small
     stars; the edges are written to the shared folder after each round."""
@@ -220,20 +279,19 @@ def classes(docs: DataFrame, least: float = SIMILARITY, m: int = REGISTERS, rows
     nodes = staged(some.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.any_value("bands").alias("bands")), "near-nodes")
     reps = nodes.select("node", "rep")
     member = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = member.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    buckets = staged(member.join(hubs, "band"), "near-buckets")
-    pairs = staged(buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
+    sized = member.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = staged(member.join(sized, "band"), "near-buckets")
+    score = buckets.groupBy("node").agg(F.sum("size").alias("score"))
+    scored = staged(buckets.join(score, "node"), "near-scored")
+    hubs = scored.groupBy("band").agg(F.max(F.struct("score", "node")).alias("top")).select("band", F.col("top.node").alias("hub"))
+    pairs = staged(scored.join(hubs, "band").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
     links = staged(verified(pairs, reps, docs, least), "near-links")
     roots = components(links)
-    wide = buckets.where("size > 2").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    wide = buckets.where("size > 2").join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
     torn = wide.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
     rest = staged(wide.join(torn, "band"), "near-rest")
-    x = rest.select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
-    y = rest.select("band", F.col("node").alias("b"), F.col("root").alias("rb"))
-    more = x.join(y, "band").where("ra <> rb and a < b").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = staged(more, "near-more")
-    if more.limit(1).count():
-        again = staged(verified(more, reps, docs, least), "near-links")
+    if rest.limit(1).count():
+        again = staged(torn_links(rest, reps, docs, least), "near-links")
         if again.limit(1).count():
             roots = components(links.union(again))
     rooted = nodes.select("node", "rep", "n").join(roots, "node", "left").select("node", "rep", "n", F.coalesce("root", "node").alias("root"))
