@@ -148,7 +148,7 @@ def alerts(events: DataFrame, names=None, rules: dict[str, Rule] | None = None)
         a = thinned(triggers(df, rule), rule).select(
             F.concat(F.lit("alert-"), F.substring(F.sha2(F.concat_ws("|", F.lit(name), "entity", F.col("__k").cast("string")), 256), 1, 12)).alias("alert_id"),
             F.lit(name).alias("rule_name"), F.lit(rule.incident).alias("incident_type"), F.lit(rule.severity).alias("severity"), F.col("entity").alias("primary_ip"),
-            F.element_at("__targets", 1).alias("target_ip") if False else F.get("__targets", F.lit(0)).alias("target_ip"), F.coalesce("timestamp_utc", "ingest_timestamp").alias("timestamp_utc"),
+            F.get("__targets", F.lit(0)).alias("target_ip"), F.coalesce("timestamp_utc", "ingest_timestamp").alias("timestamp_utc"),
             F.size("__uids").cast("long").alias("event_count"), F.col("__uids").alias("correlated_event_uids"), F.col("__measure").alias("measure"), F.lit(rule.tactic).alias("mitre_tactic"), F.col("__tech").alias("mitre_technique_id"), F.col("__tech_name").alias("mitre_technique_name"),
             F.to_json(F.struct(F.lit(rule.window).alias("window_seconds"), F.col("__measure").alias("measure"), F.col("__targets").alias("target_ips"))).alias("context"))
         out = a if out is None else out.unionByName(a)
