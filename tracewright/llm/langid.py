@@ -148,7 +148,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, path: str | None = None) -> M
     table_ = chosen.mapInArrow(words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toPandas()
     pieces, langs = set(vocabulary(path or default_path())), sorted(sizes)
     pieces |= {c for w in table_["word"] for c in w} | {"▁"}
-    by = {lang: dict(zip(g["word"], g["n"])) for lang, g in table_.groupby("lang")}
+    by = {lang: dict(zip(g["word"].tolist(), g["n"].tolist())) for lang, g in table_.groupby("lang")}
     fitted = [fit_language(by.get(lang, {}), pieces) for lang in langs]
     used = {p for f in fitted for p, x in f.items() if x > 1.5 * min(f.values())}
     return Model(langs, {p: tuple(f[p] for f in fitted) for p in sorted(used)})
