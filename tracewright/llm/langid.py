@@ -150,7 +150,8 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, path: str | None = None) -> M
     pieces |= {c for w in table_["word"] for c in w} | {"▁"}
     by = {lang: dict(zip(g["word"].tolist(), g["n"].tolist())) for lang, g in table_.groupby("lang")}
     fitted = [fit_language(by.get(lang, {}), pieces) for lang in langs]
-    used = {p for f in fitted for p, x in f.items() if x > 1.5 * min(f.values())}
+    least = [1.5 * min(f.values(), default=0.0) for f in fitted]
+    used = {p for f, low in zip(fitted, least) for p, x in f.items() if x > low}
     return Model(langs, {p: tuple(f[p] for f in fitted) for p in sorted(used)})
 
 
