@@ -3,16 +3,9 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .fixed_values import BROWSERS, PAYLOADS, SCANNERS
+
 LABEL_VERSION = "weak-label-v1"
-SCANNERS = sorted(["zgrab", "wpscan", "sqlmap", "nuclei", "nmap scripting engine", "nikto", "masscan", "gobuster", "ffuf", "dirbuster"])
-BROWSERS = ["Opera/", "Mozilla/"]
-GAP = r"(?:\s|_)"
-PAYLOADS = {
-    "payload_shell": rf"(?:wget|curl){GAP}+[^&|;]*(?:%3b|;){GAP}*(?:bash|sh)|rm{GAP}+-rf",
-    "payload_traversal": r"%2e%2e(?:/|%2f)|\.\./",
-    "payload_sqli": rf"(?:'|%27){GAP}*(?:and|or){GAP}+\d+{GAP}*={GAP}*\d+|union{GAP}+select",
-    "payload_xss": r"%3cscript|<script",
-}
 CODES = [
     ("declared_scanner", "UA_DECLARED_SCANNER"),
     ("browser_style", "UA_BROWSER_STYLE"),

@@ -5,16 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .fixed_values import ACTION, CATEGORY, DEVICE, NO_THREAT_NAMES, SEVERITY, TECHNIQUES, THREAT_ACTIONS, THREAT_LABELS, THREAT_WORDS
+from .network import let
 
-def _terms(text: str) -> dict[str, str]:
-    """'value: a b c / value: d' → {a: value, …}."""
-    return {t: k.strip() for part in text.split("/") for k, _, ts in [part.partition(":")] for t in ts.split()}
 
-
-SEVERITY = {k: int(v) for k, v in _terms("10: emerg 10 / 8: crit critical alert 8 / 6: error err high 1 6 / 4: warn warning medium 2 4 / 2: notice low 3 / 1: info informational debug 0 / 0: unknown").items()}
-ACTION = _terms("allow: accept allow permitted / deny: denied deny / block: blocked block / drop: teardown dropped drop / alert: alert / reset: reset")
-CATEGORY = _terms("network: firewall network / threat: threat intrusion ips ids / authentication: login authentication auth / policy: policy / system: system")
-DEVICE = _terms("firewall: firewall / ids_ips: ids_ips ips ids / proxy: proxy / router_switch: switch router / vpn: vpn / web_application_firewall: waf / endpoint: endpoint / generic: generic")
 CATEGORIES = sorted({*CATEGORY.values(), "unknown"})
 ACTIONS = sorted({*ACTION.values(), "unknown"})
 
@@ -35,6 +29,11 @@ def lookup(value: Column, terms: dict, default) -> Column:
     return F.when(value.isNotNull(), F.coalesce(F.try_element_at(m, F.lower(F.trim(value))), F.lit(default)))
 
 
+def device_type(value: Column) -> Column:
+    """A vendor's term for a device to the canonical one; unknown ones are generic."""
+    return lookup(value.cast("string"), DEVICE, "generic")
+
+
 def coerce(name: str, value: Column) -> Column:
     """A text to the type and vocabulary of a canonical field; null stays null."""
     t = F.trim(value.cast("string"))
@@ -96,18 +95,6 @@ def validation_errors() -> Column:
     return F.concat_ws("; ", *missing, F.when(~c("record_hash").rlike("^[0-9a-f]{32}$"), "record_hash is not 32 hexadecimal digits"), *ports, *shares, *words)
 
 
-#: (regex, tactic, technique, name); the first that matches wins.
-TECHNIQUES = [
-    (r"\bxss\b|\bsqli\b|\brce\b|\.\./|sql\s*injection|union\s+select|or\s+1\s*=\s*1|path\s*traversal|apache\s*path|cross[- ]site\s*script|remote\s*code\s*execution|web[- ]attack", "Initial Access", "T1190", "Exploit Public-Facing Application"),
-    (r"auth\s*failure|auth_failed|credential\s*stuffing|password\s*spray|eventid\s*4625|login\s*failure|failed\s*logon|brute\s*force", "Credential Access", "T1110", "Brute Force"),
-    (r"\bprobe\b|\bscan\b|host\s*sweep|icmp\s*ping|service\s*discovery|masscan|shodan|reconnaissance|port\s*scan", "Discovery", "T1046", "Network Service Discovery"),
-    (r"reverse\s*shell|script\s*interpreter|command\s*injection|/bin/bash|/bin/sh|cmd\.exe|cmd\.php|powershell", "Execution", "T1059", "Command and Scripting Interpreter"),
-    (r"\bc2\b|mirai|cobalt\s*strike|beacon|dns\s*tunnel|botnet|trojan|command\s*and\s*control", "Command and Control", "T1071", "Application Layer Protocol"),
-    (r"bandwidth\s*exhaust|udp\s*flood|syn\s*flood|ddos|dos|denial\s*of\s*service", "Impact", "T1498", "Network Denial of Service"),
-    (r"unauthorized_api|privilege\s*escalation|assume_role|accessdenied|createaccesskey", "Privilege Escalation", "T1078", "Valid Accounts"),
-]
-
-
 def technique(threat_name: Column, event_name: Column, url: Column, raw: Column, action: Column) -> Column:
     """struct(tactic, technique_id, technique_name) or null."""
     empty = F.lit("")
@@ -116,22 +103,25 @@ def technique(threat_name: Column, event_name: Column, url: Column, raw: Column,
     def s(tactic, tid, name):
         return F.struct(F.lit(tactic).alias("tactic"), F.lit(tid).alias("technique_id"), F.lit(name).alias("technique_name"))
 
-    out = F.when(F.trim(text) == "", F.lit(None))
-    for regex, tactic, tid, name in TECHNIQUES:
-        out = out.when(text.rlike("(?i)" + regex), s(tactic, tid, name))
-    return out.when(F.lower(F.coalesce(action, empty)).rlike("deny|block|drop"), s(*TECHNIQUES[0][1:]))
+    def of(x: Column) -> Column:
+        out = F.when(F.trim(x["text"]) == "", F.lit(None))
+        for regex, tactic, tid, name in TECHNIQUES:
+            out = out.when(x["text"].rlike("(?i)" + regex), s(tactic, tid, name))
+        return out.when(F.lower(F.coalesce(x["action"], empty)).rlike("deny|block|drop"), s(*TECHNIQUES[0][1:]))
+
+    return let(F.struct(text.alias("text"), action.alias("action")), of)
 
 
 def is_threat() -> Column:
     """The dashboard's threat predicate; severities 1 to 4 count, as it has always been."""
     no, c = F.lit(False), F.col
     tests = [
-        F.lower("severity_label").isin("critical", "high", "emergency", "medium"),
+        F.lower("severity_label").isin(*THREAT_LABELS),
         (c("severity") > 0) & (c("severity") <= 4),
-        c("event_action").isin("deny", "drop", "block", "alert"),
-        c("weak_label").isin("attack", "suspicious"),
+        F.lower("event_action").isin(*THREAT_ACTIONS),
+        F.lower("weak_label").isin(*THREAT_WORDS),
         c("is_malicious"), c("mitre_technique_id").isNotNull(), c("threat_intel_score") >= 0.5,
-        c("threat_name").isNotNull() & ~F.lower("threat_name").isin("", "none", "unknown"),
+        c("threat_name").isNotNull() & ~F.trim("threat_name").isin(*NO_THREAT_NAMES),
     ]
     out = no
     for t in tests:

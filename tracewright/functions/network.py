@@ -8,81 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .fixed_values import NETWORKS, REGIONS, THREAT_NETS, THREATS
+
 OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = "^" + r"\.".join([OCTET] * 4) + "$"
 IPV6 = r"^[0-9A-Fa-f:]*:[0-9A-Fa-f:.]*$"
 
-#: In order: network, country, city, operator. The first that holds an address wins.
-CIDRS = [
-    tuple(x.strip() for x in line.split(";"))
-    for line in """
-8.8.8.0/24 ; US ; Mountain View ; AS15169 Google LLC
-8.8.4.0/24 ; US ; Mountain View ; AS15169 Google LLC
-1.1.1.0/24 ; US ; San Francisco ; AS13335 Cloudflare Inc
-1.0.0.0/24 ; US ; San Francisco ; AS13335 Cloudflare Inc
-9.9.9.0/24 ; CH ; Zurich ; AS19281 Quad9
-208.67.222.0/24 ; US ; San Francisco ; AS36692 Cisco OpenDNS
-208.67.220.0/24 ; US ; San Francisco ; AS36692 Cisco OpenDNS
-172.217.0.0/16 ; US ; Mountain View ; AS15169 Google LLC
-142.250.0.0/15 ; US ; Mountain View ; AS15169 Google LLC
-34.0.0.0/11 ; US ; Council Bluffs ; AS15169 Google Cloud
-35.192.0.0/12 ; US ; Council Bluffs ; AS15169 Google Cloud
-52.0.0.0/11 ; US ; Ashburn ; AS16509 Amazon.com Inc
-54.0.0.0/11 ; US ; Ashburn ; AS16509 Amazon.com Inc
-3.0.0.0/9 ; US ; Seattle ; AS16509 Amazon AWS
-18.0.0.0/9 ; US ; Seattle ; AS16509 Amazon AWS
-13.64.0.0/11 ; US ; Redmond ; AS8075 Microsoft Corp
-20.0.0.0/11 ; US ; Redmond ; AS8075 Microsoft Azure
-40.64.0.0/10 ; US ; Redmond ; AS8075 Microsoft Azure
-104.16.0.0/12 ; US ; San Francisco ; AS13335 Cloudflare CDN
-172.64.0.0/13 ; US ; San Francisco ; AS13335 Cloudflare CDN
-45.33.32.0/24 ; US ; Atlanta ; AS63949 Linode LLC
-198.51.100.0/24 ; US ; External WAN ; AS64496 Documentation-NET-2
-203.0.113.0/24 ; US ; External DMZ ; AS64497 Documentation-NET-3
-192.0.2.0/24 ; US ; External Gateway ; AS64498 Documentation-NET-1
-185.0.0.0/8 ; DE ; Frankfurt ; AS3320 Deutsche Telekom AG
-193.0.0.0/8 ; NL ; Amsterdam ; AS1103 SURFnet bv
-194.0.0.0/8 ; FR ; Paris ; AS3215 Orange S.A.
-82.0.0.0/8 ; GB ; London ; AS2856 British Telecom
-86.0.0.0/8 ; GB ; Manchester ; AS5089 Virgin Media
-103.0.0.0/8 ; IN ; Mumbai ; AS4755 Bharti Airtel Ltd
-106.0.0.0/8 ; IN ; New Delhi ; AS9829 BSNL Internet
-117.0.0.0/8 ; IN ; Bangalore ; AS55836 Reliance Jio
-122.0.0.0/8 ; IN ; Chennai ; AS4755 Bharti Airtel Ltd
-49.0.0.0/8 ; IN ; Hyderabad ; AS55836 Reliance Jio
-110.0.0.0/8 ; CN ; Beijing ; AS4134 China Telecom
-111.0.0.0/8 ; CN ; Shanghai ; AS9808 China Mobile
-112.0.0.0/8 ; CN ; Guangzhou ; AS4837 China Unicom
-123.0.0.0/8 ; CN ; Shenzhen ; AS4134 China Telecom
-""".strip().splitlines()
-]
 #: Not globally reachable, as Python's ipaddress has it; 192.0.0.9 and .10 are.
 INTERNAL = "0.0.0.0/8 10.0.0.0/8 127.0.0.0/8 169.254.0.0/16 172.16.0.0/12 192.0.0.0/24 192.0.0.170/31 192.0.2.0/24 192.168.0.0/16 198.18.0.0/15 198.51.100.0/24 203.0.113.0/24 240.0.0.0/4".split()
-REGIONS = [
-    ("IN", "India Regional", "AS-APNIC Regional", "49 103 106 115 117 122"),
-    ("CN", "China Regional", "AS-APNIC Regional", "110 111 112 113 123 220"),
-    ("EU", "Europe Regional", "AS-RIPE Regional", "185 188 193 194 195 212 213 217"),
-    ("US", "North America", "AS-ARIN Regional", "3 12 13 15 16 17 18 20 24 32 34 35 40 44 45 50 52 54 63 64 65 66 67 68 69 70 71 72 73 74 75 76 96 97 98 99"),
-]
-THREATS = {
-    line.split()[0]: (line.split()[1], float(line.split()[2]))
-    for line in """
-198.51.100.12 web_attack_botnet 0.92
-198.51.100.44 tor_exit_nodes 0.95
-198.51.100.77 emerging_threats_botnet 0.90
-198.51.100.95 bruteforce_botnet 0.88
-198.51.100.110 compromised_iam_recon 0.80
-203.0.113.14 apt_active_threat 0.99
-203.0.113.88 darklist_c2 0.98
-203.0.113.120 mirai_scanner 0.85
-203.0.113.250 ransomware_c2 1.00
-45.33.32.156 shodan_scanner 0.75
-185.220.101.5 tor_exit_nodes 0.95
-185.220.102.8 tor_exit_nodes 0.95
-89.248.165.10 masscan_recon 0.70
-""".strip().splitlines()
-}
-THREAT_NETS = [("198.51.100.64/28", "emerging_threats_bruteforce", 0.88), ("203.0.113.80/28", "darklist_c2_pool", 0.95)]
 MALICIOUS = 0.65
 
 
@@ -129,6 +62,12 @@ def canonical_ip(ip: Column) -> Column:
     return F.when(ip.rlike(IPV4), ip).otherwise(canonical_ipv6(ip))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once; long bodies stay out of the
+    generated code, which has a size limit."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def within(n: Column, cidr: str) -> Column:
     lo, hi = bounds(cidr)
     return n.between(lo, hi)
@@ -144,36 +83,39 @@ def internal(n: Column) -> Column:
 def geo(ip: Column) -> Column:
     """struct(country, city, asn, is_private): networks in their order, internal
     ranges, regions by first octet, else global; invalid addresses give nulls."""
-    n = ipv4(bare(ip))
 
     def place(country, city, asn, private):
         return F.struct(F.lit(country).alias("country"), F.lit(city).alias("city"), F.lit(asn).alias("asn"), F.lit(private).alias("is_private"))
 
-    nothing = F.struct(*(F.lit(None).cast("string").alias(x) for x in ("country", "city", "asn")), F.lit(False).alias("is_private"))
-    out = F.when(n.isNull(), nothing)
-    for cidr, country, city, asn in CIDRS:
-        out = out.when(within(n, cidr), place(country, city, asn, False))
-    out = out.when(internal(n), place("INTERNAL", "Private Network", "RFC1918 Private", True))
-    first = F.shiftright(n, 24)
-    for country, city, asn, octets in REGIONS:
-        out = out.when(first.isin(*map(int, octets.split())), place(country, city, asn, False))
-    return out.otherwise(place("GLOBAL", "Public WAN", "AS-Public Internet", False))
+    def of(n: Column) -> Column:
+        nothing = F.struct(*(F.lit(None).cast("string").alias(x) for x in ("country", "city", "asn")), F.lit(False).alias("is_private"))
+        out = F.when(n.isNull(), nothing)
+        for cidr, country, city, asn in NETWORKS:
+            out = out.when(within(n, cidr), place(country, city, asn, False))
+        out = out.when(internal(n), place("INTERNAL", "Private Network", "RFC1918 Private", True))
+        first = F.shiftright(n, 24)
+        for country, city, asn, octets in REGIONS:
+            out = out.when(first.isin(*octets), place(country, city, asn, False))
+        return out.otherwise(place("GLOBAL", "Public WAN", "AS-Public Internet", False))
+
+    return let(ipv4(bare(ip)), of)
 
 
 def threat(ip: Column, ips: dict = THREATS, nets: list = THREAT_NETS, threshold: float = MALICIOUS) -> Column:
     """struct(score, source, is_malicious); exact addresses before networks."""
-    plain = bare(ip)
-    n = ipv4(plain)
 
     def hit(score, source):
         return F.struct(F.lit(float(score)).alias("score"), F.lit(source).cast("string").alias("source"), F.lit(score >= threshold).alias("is_malicious"))
 
-    out = F.when(plain.isNull(), hit(0.0, None))
-    for address, (source, score) in ips.items():
-        out = out.when(plain == address, hit(score, source))
-    for cidr, source, score in nets:
-        out = out.when(within(n, cidr), hit(score, source))
-    return out.otherwise(hit(0.0, None))
+    def of(x: Column) -> Column:
+        out = F.when(x["plain"].isNull(), hit(0.0, None))
+        for address, (source, score) in ips.items():
+            out = out.when(x["plain"] == address, hit(score, source))
+        for cidr, source, score in nets:
+            out = out.when(within(x["n"], cidr), hit(score, source))
+        return out.otherwise(hit(0.0, None))
+
+    return let(F.struct(bare(ip).alias("plain"), ipv4(bare(ip)).alias("n")), of)
 
 
 def read_blocklist(path: str, feed: str, score: float = 0.9) -> tuple[dict, list, int]:
@@ -195,5 +137,7 @@ def read_blocklist(path: str, feed: str, score: float = 0.9) -> tuple[dict, list
 
 
 def ip_class(ip: Column) -> Column:
-    n = ipv4(F.trim(ip))
-    return F.when(n.isNull(), "invalid").when(within(n, "127.0.0.0/8"), "loopback").when(internal(n), "private").when(within(n, "224.0.0.0/4"), "other").otherwise("public")
+    def of(n: Column) -> Column:
+        return F.when(n.isNull(), "invalid").when(within(n, "127.0.0.0/8"), "loopback").when(internal(n), "private").when(within(n, "224.0.0.0/4"), "other").otherwise("public")
+
+    return let(ipv4(F.trim(ip)), of)

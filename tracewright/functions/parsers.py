@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, MapType, StringType, StructField, StructType
 
+from . import fixed_values as V
+
 MAP = "map<string,string>"
 XML = StructType([StructField("ok", BooleanType()), StructField("root", StringType()), StructField("flat", MapType(StringType(), StringType())), StructField("data", ArrayType(StructType([StructField("name", StringType()), StructField("value", StringType())])))])
 
@@ -62,8 +64,7 @@ def routed(entries: Column, names: dict[str, str]) -> tuple[Column, Column]:
 
 # Cisco ASA ---------------------------------------------------------------
 ASA = r"(?is)%ASA-(\d+)-(\d+):\s*(.*)"
-ASA_LEVEL = dict(zip("01234567", "emergency alert critical error warning notice informational debug".split()))
-ASA_NAMES = {"106": "ACL Deny", "302": "NAT/Connection", "305": "Dynamic Translation", "313": "ICMP Unreachable", "402": "IKE/IPsec Error", "407": "No Route to Host", "609": "Local Host Removed", "710": "Access Denied", "719": "AAA Failure", "733": "Rate Limit Exceeded"}
+ASA_LEVEL = {str(k): level for k, level in enumerate(V.SYSLOG_LEVELS)}
 ADDRESS = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 
 
@@ -75,18 +76,15 @@ def cisco_asa(line: Column) -> Column:
     bare = F.regexp_extract_all(body, F.lit(rf"\w+:({ADDRESS})"), F.lit(1))
     none = F.size(full) == 0
     at = lambda a, k: F.get(a, F.lit(k))
-    action = F.when(body.rlike(r"(?i)\b(teardown|reject|block|drop|denied|deny)\b"), "deny").when(body.rlike(r"(?i)\b(translated|established|built|allow|permit)\b"), "allow").otherwise("unknown")
+    action = F.when(body.rlike("(?i)" + V.ASA_DENY), "deny").when(body.rlike("(?i)" + V.ASA_ALLOW), "allow").otherwise("unknown")
     fields = merged(
         const(vendor="cisco", device_type="firewall", event_category="network"),
-        pairs(threat_signature_id=msg, threat_name=pick(F.substring(msg, 1, 3), ASA_NAMES, F.concat(F.lit("ASA Message "), msg)), severity=pick(level, ASA_LEVEL, "unknown"), severity_label=level, event_action=action,
+        pairs(threat_signature_id=msg, threat_name=pick(F.substring(msg, 1, 3), V.ASA_NAMES, F.concat(F.lit("ASA Message "), msg)), severity=pick(level, ASA_LEVEL, "unknown"), severity_label=level, event_action=action,
               protocol=F.lower(part(body, r"(?i)\b(tcp|udp|icmp|gre|esp|ah)\b", 1)), src_ip=F.when(none, at(bare, 0)).otherwise(at(full, 0)), src_port=at(ports, 0), dst_ip=F.when(none, at(bare, 1)).otherwise(at(full, 1)), dst_port=at(ports, 1)))
     return result(s.rlike(ASA), fields, pairs(asa_body=body, asa_msg_id=msg), "no %ASA marker")
 
 
 # Palo Alto ---------------------------------------------------------------
-PAN_ACTION = {"allow": "allow", "deny": "deny", "drop": "drop", "sinkhole": "block", "block-ip": "block", "block-url": "block", "reset-both": "reset", "reset-server": "reset", "reset-client": "reset"}
-
-
 def csv_fields(line: Column) -> Column:
     """Comma-separated values of a line, quoted ones unquoted."""
     cells = F.regexp_extract_all(line, F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
@@ -106,7 +104,7 @@ def _pan(line: Column, kind: str, nulls: list[str]):
 def paloalto_traffic(line: Column) -> Column:
     f, get, ok = _pan(line, "TRAFFIC", ["0.0.0.0", "0"])
     sub = F.lower(F.trim(F.get(f, F.lit(4))))
-    action = F.coalesce(pick(F.lower(get(30)), PAN_ACTION), pick(sub, {"start": "allow", "end": "allow", "deny": "deny", "drop": "drop"}, "unknown"))
+    action = F.coalesce(pick(F.lower(get(30)), V.PAN_ACTION), pick(sub, V.PAN_SUBTYPE, "unknown"))
     fields = merged(const(vendor="palo_alto", device_type="firewall", event_category="network", severity="informational"), pairs(timestamp_raw=get(1), src_ip=get(7), dst_ip=get(8), src_port=get(24), dst_port=get(25), protocol=F.lower(get(29)), event_action=action, username=get(12)))
     extra = pairs(serial=get(2), log_type=F.lit("TRAFFIC"), subtype=sub, rule_name=get(11), application=get(14), src_zone=get(16), dst_zone=get(17), bytes_sent=get(38), bytes_received=get(39), packets=get(40))
     return result(ok, fields, extra, "no TRAFFIC line of 30 fields")
@@ -115,14 +113,13 @@ def paloalto_traffic(line: Column) -> Column:
 def paloalto_threat(line: Column) -> Column:
     _, get, ok = _pan(line, "THREAT", ["0.0.0.0", "0", "any", "unknown"])
     sev = F.lower(F.coalesce(get(60), F.lit("")))
-    level = pick(sev, {k: "informational" if k == "info" else k for k in ("info", "informational", "low", "medium", "high", "critical")}, "medium")
-    fields = merged(const(vendor="palo_alto", device_type="ids_ips", event_category="threat"), pairs(timestamp_raw=get(1), src_ip=get(7), dst_ip=get(8), src_port=get(24), dst_port=get(25), protocol=F.lower(get(29)), event_action=pick(F.lower(get(30)), PAN_ACTION, "alert"), username=get(12), threat_signature_id=get(58), threat_name=get(59), severity=level, severity_label=sev))
+    level = pick(sev, V.PAN_SEVERITY, "medium")
+    fields = merged(const(vendor="palo_alto", device_type="ids_ips", event_category="threat"), pairs(timestamp_raw=get(1), src_ip=get(7), dst_ip=get(8), src_port=get(24), dst_port=get(25), protocol=F.lower(get(29)), event_action=pick(F.lower(get(30)), V.PAN_ACTION, "alert"), username=get(12), threat_signature_id=get(58), threat_name=get(59), severity=level, severity_label=sev))
     return result(ok, fields, pairs(serial=get(2), log_type=F.lit("THREAT"), rule_name=get(11), application=get(14), src_zone=get(16), dst_zone=get(17)), "no THREAT line of 30 fields")
 
 
 # CEF and LEEF ------------------------------------------------------------
 CEF = r"(?s)^.*?CEF:(\d+)" + r"\|([^|]*)" * 6 + r"\|(.*)$"
-CEF_KEYS = {"src": "src_ip", "shost": "src_ip", "dst": "dst_ip", "dhost": "dst_ip", "spt": "src_port", "dpt": "dst_port", "proto": "protocol", "act": "action", "outcome": "event_action", "requestMethod": "http_method", "request": "http_url", "requestClientApplication": "user_agent", "duser": "username", "suser": "username", "reason": "message", "msg": "message"}
 PAIR = r"(?U)(\w+)=(.*?)(?=\s+\w+=|$)"
 
 
@@ -131,14 +128,13 @@ def cef(line: Column) -> Column:
     ext = F.regexp_extract(s, CEF, 8)
     keys, values = F.regexp_extract_all(ext, F.lit(PAIR), F.lit(1)), F.regexp_extract_all(ext, F.lit(PAIR), F.lit(2))
     entries = F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), F.trim(v).alias("value")))
-    known, other = routed(entries, CEF_KEYS)
+    known, other = routed(entries, V.CEF_KEYS)
     g = lambda k: F.regexp_extract(s, CEF, k)
     head = pairs(cef_version=g(1), vendor=g(2), device_product=g(3), device_version=g(4), threat_signature_id=g(5), threat_name=g(6), severity=F.trim(g(7)), severity_label=F.trim(g(7)))
     return result(s.rlike(CEF), merged(head, known), other, "no CEF header")
 
 
 LEEF = r"(?s)^LEEF:(\d+\.\d+)" + r"\|([^|]*)" * 4 + r"(?:\|delimiter=([^|]+))?\|(.*)$"
-LEEF_KEYS = {"src": "src_ip", "dst": "dst_ip", "vSrcPort": "src_port", "spt": "src_port", "vDstPort": "dst_port", "dpt": "dst_port", "proto": "protocol", "usrName": "username", "ua": "user_agent", "url": "http_url", "devTime": "timestamp_raw", "cat": "event_category", "msg": "message", "severity": "severity", "sev": "severity", "action": "action"}
 
 
 def leef(line: Column) -> Column:
@@ -150,7 +146,7 @@ def leef(line: Column) -> Column:
     quoted = F.concat(F.lit("\\Q"), mark, F.lit("\\E"))
     attrs = F.filter(F.split(g(7), quoted, -1), lambda x: x.contains("="))
     entries = F.transform(attrs, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("key"), F.trim(F.substring(x, F.instr(x, F.lit("=")) + 1, F.length(x))).alias("value")))
-    known, other = routed(entries, LEEF_KEYS)
+    known, other = routed(entries, V.LEEF_KEYS)
     head = pairs(leef_version=g(1), vendor=g(2), device_product=g(3), device_version=g(4), threat_signature_id=g(5))
     return result(s.rlike(LEEF), merged(head, known), other, "no LEEF header")
 
@@ -167,7 +163,7 @@ def snort_alert(line: Column) -> Column:
     s = F.trim(line)
     g = lambda k: part(s, SNORT, k)
     base = const(event_category="threat", vendor="snort_suricata", device_type="ids_ips")
-    whole = merged(base, pairs(timestamp_raw=g(1), action=F.lower(F.trim(F.coalesce(g(2), F.lit("alert")))), threat_signature_id=g(3), threat_name=F.trim(g(4)), classification=g(5), priority=F.coalesce(g(6), F.lit("")), severity=pick(g(6), {"1": "high", "2": "medium", "3": "low", "4": "informational"}, "unknown"), severity_label=F.concat(F.lit("Priority "), g(6)), protocol=F.lower(g(7)), src_ip=g(8), src_port=g(9), dst_ip=g(10), dst_port=g(11)))
+    whole = merged(base, pairs(timestamp_raw=g(1), action=F.lower(F.trim(F.coalesce(g(2), F.lit("alert")))), threat_signature_id=g(3), threat_name=F.trim(g(4)), classification=g(5), priority=F.coalesce(g(6), F.lit("")), severity=pick(g(6), V.SNORT_PRIORITY, "unknown"), severity_label=F.concat(F.lit("Priority "), g(6)), protocol=F.lower(g(7)), src_ip=g(8), src_port=g(9), dst_ip=g(10), dst_port=g(11)))
     some = merged(base, pairs(raw_message=s, threat_signature_id=part(s, r"\[(\d+:\d+:\d+)\]", 1), threat_name=F.trim(part(s, r"\[\*\*\]\s+(?:\[\d+:\d+:\d+\]\s+)?([^\[]+?)\s+\[\*\*\]", 1))))
     return result(s.contains("[**]"), F.when(s.rlike(SNORT), whole).otherwise(some), None, "no alert marker")
 
@@ -176,11 +172,8 @@ def snort_alert(line: Column) -> Column:
 RFC5424 = r"(?s)^<(\d{1,3})>(\d+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(.*)$"
 RFC3164 = r"(?s)^<(\d{1,3})>([A-Z][a-z]{2}\s+\d{1,2}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+([^\s:]+)(?::\s*)?(.*)$"
 RFC3164Y = r"(?s)^<(\d{1,3})>([A-Z][a-z]{2}\s+\d{1,2}\s+\d{4}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+([^\s:]+)?(?::\s*)?(.*)$"
-LEVELS = "emergency alert critical error warning notice informational debug".split()
-SCORES = [10, 9, 8, 7, 6, 5, 4, 2]
 KV = r"(?U)(\w+)=([\"']?)([^\"'=,\s]+)\2"
-KV_KEYS = {a: k for k, names in {"src_ip": "sip source src", "dst_ip": "dip dest dst", "src_port": "srcport sport spt", "dst_port": "dstport dport dpt", "protocol": "protocol proto", "event_action": "act action", "username": "suser usrname user", "http_url": "request url", "http_method": "method"}.items() for a in names.split()}
-NET = rf"(?i)(?:from|source|src)[=:\s]+([\d.]+)(?:[:/](\d+))?|(?:to|destination|dest|dst)[=:\s]+([\d.]+)(?:[:/](\d+))?|((?<!\d){ADDRESS}(?!\d))"
+NET = rf"(?i)(?:src|source|from)[=:\s]+([\d.]+)(?:[:/](\d+))?|(?:dst|dest|destination|to)[=:\s]+([\d.]+)(?:[:/](\d+))?|((?<!\d){ADDRESS}(?!\d))"
 
 
 def _network(text: Column) -> Column:
@@ -192,7 +185,7 @@ def _network(text: Column) -> Column:
 
 def _key_values(text: Column) -> Column:
     keys, values = F.regexp_extract_all(text, F.lit(KV), F.lit(1)), F.regexp_extract_all(text, F.lit(KV), F.lit(3))
-    return compact(F.zip_with(keys, values, lambda k, v: F.struct(pick(F.lower(k), KV_KEYS, F.lower(k)).alias("key"), v.alias("value"))))
+    return compact(F.zip_with(keys, values, lambda k, v: F.struct(pick(F.lower(k), V.SYSLOG_KEYS, F.lower(k)).alias("key"), v.alias("value"))))
 
 
 def syslog(line: Column) -> Column:
@@ -201,7 +194,7 @@ def syslog(line: Column) -> Column:
     is5, is3, is3y = s.rlike(RFC5424), s.rlike(RFC3164), s.rlike(RFC3164Y)
     pri = part(s, r"^<(\d{1,3})>", 1).try_cast("int")
     code = pri.bitwiseAND(7)
-    level, score = F.get(F.array(*map(F.lit, LEVELS)), code), F.get(F.array(*map(F.lit, SCORES)), code)
+    level, score = F.get(F.array(*map(F.lit, V.SYSLOG_LEVELS)), code), F.get(F.array(*map(F.lit, V.SYSLOG_SCORES)), code)
     head = pairs(priority=pri, facility=F.shiftright(pri, 3), syslog_severity=level, severity=score, severity_label=level)
 
     def old(regex):
@@ -214,7 +207,7 @@ def syslog(line: Column) -> Column:
     (f3, t3), (fy, ty) = old(RFC3164), old(RFC3164Y)
     own = F.when(is5, f5).when(is3, f3).when(is3y, fy).otherwise(pairs(message=s))
     text = F.when(is5, m5).when(is3, t3).when(is3y, ty).otherwise(s)
-    act = F.lower(part(text, r"(?i)\b(deny|denied|allowed|allow|accepted|accept|dropped|drop|blocked|block|rejected|reject|pass)\b", 1))
+    act = F.lower(part(text, "(?i)" + V.SYSLOG_ACTIONS, 1))
     return result(s.startswith("<"), merged(head, own, _key_values(text), _network(text), pairs(event_action=act)), None, "no syslog line")
 
 
@@ -238,10 +231,6 @@ def cj_json_array(line: Column) -> Column:
     return result(F.coalesce(ok, F.lit(False)), pairs(**{n: F.get(a, F.lit(k)) for k, n in enumerate(CJ)}), None, "no array of 8 values")
 
 
-DENIED = {k: "deny" for k in ("NoCredentialProviders", "InvalidClientTokenId", "AuthFailure", "UnauthorizedOperation", "AccessDenied")}
-HIGH = "Unauthorize|Deregister|Disable|Stop|Terminate|Detach|Revoke|Remove|Delete"
-MEDIUM = "Associate|Set|Update|Modify|Enable|Authorize|Attach|Add|Put|Create"
-
 
 def aws_cloudtrail(line: Column) -> Column:
     """The first record of a line: of a wrapper, an array, or an object itself."""
@@ -252,9 +241,9 @@ def aws_cloudtrail(line: Column) -> Column:
     name, source, err = F.coalesce(g("eventName"), F.lit("")), F.coalesce(g("eventSource"), F.lit("")), full(g("errorCode"))
     who = F.coalesce(full(g("userIdentity.userName")), full(g("userIdentity.principalId")), full(F.substring_index(g("userIdentity.arn"), "/", -1)))
     ip = full(g("sourceIPAddress"))
-    level = F.when(err.isin("AuthFailure", "UnauthorizedOperation", "AccessDenied") | name.rlike(f"^(?:{HIGH})"), "high").when(name.rlike(f"^(?:{MEDIUM})"), "medium").otherwise("informational")
-    category = F.when(source.rlike("cognito|sts|iam"), "authentication").when(err.isin("UnauthorizedOperation", "AccessDenied"), "threat").otherwise("network")
-    fields = merged(const(vendor="amazon_aws", device_type="generic"), pairs(timestamp_raw=g("eventTime"), src_ip=F.when(~ip.startswith("AWS"), ip), user_agent=full(g("userAgent")), username=who, threat_signature_id=name, threat_name=F.concat(F.lit("AWS:"), name), event_action=F.when(err.isNull(), "allow").otherwise(pick(err, DENIED, "alert")), event_category=category, severity=level, severity_label=F.coalesce(err, F.lit("success"))))
+    level = F.when(err.isin(*V.TRAIL_HIGH_ERRORS) | name.rlike(f"^(?:{'|'.join(V.TRAIL_HIGH)})"), "high").when(name.rlike(f"^(?:{'|'.join(V.TRAIL_MEDIUM)})"), "medium").otherwise("informational")
+    category = F.when(source.rlike("iam|sts|cognito"), "authentication").when(err.isin(*V.TRAIL_THREAT_ERRORS), "threat").otherwise("network")
+    fields = merged(const(vendor="amazon_aws", device_type="generic"), pairs(timestamp_raw=g("eventTime"), src_ip=F.when(~ip.startswith("AWS"), ip), user_agent=full(g("userAgent")), username=who, threat_signature_id=name, threat_name=F.concat(F.lit("AWS:"), name), event_action=F.when(err.isNull(), "allow").otherwise(pick(err, V.TRAIL_ERRORS, "alert")), event_category=category, severity=level, severity_label=F.coalesce(err, F.lit("success"))))
     extra = pairs(event_id_cloudtrail=g("eventID"), event_source=source, aws_region=g("awsRegion"), account_id=g("userIdentity.accountId"), identity_type=g("userIdentity.type"), event_type=g("eventType"), error_code=err, error_message=full(g("errorMessage")), request_parameters=g("requestParameters"))
     return result(F.try_parse_json(s).isNotNull() & F.coalesce(rec.startswith("{"), F.lit(False)), fields, extra, "no CloudTrail record")
 
@@ -298,21 +287,16 @@ def parse_xml(lines):
     return pd.DataFrame(rows, columns=["ok", "root", "flat", "data"])
 
 
-XML_KEYS = {a: k for k, names in {"src_ip": "source_ip src_ip sourceip srcip", "dst_ip": "destination_ip dst_ip destinationip destip dstip", "src_port": "src_port sourceport srcport", "dst_port": "dst_port destport dstport", "protocol": "proto protocol", "event_action": "action", "severity": "level severity", "username": "user username", "device_hostname": "computer host hostname", "threat_name": "msg message", "threat_signature_id": "event_id eventid", "timestamp_raw": "datetime time timestamp", "user_agent": "user_agent useragent", "http_url": "uri url"}.items() for a in names.split()}
 
 
 def xml_generic(line: Column) -> Column:
     x = parse_xml(line)
     entries = F.transform(F.map_entries(x["flat"]), lambda e: F.struct(F.regexp_replace(e["key"], "[- ]", "_").alias("key"), e["value"].alias("value")))
-    known, other = routed(entries, XML_KEYS)
+    known, other = routed(entries, V.XML_KEYS)
     base = const(event_category="unknown", event_action="unknown", severity="informational", device_type="generic")
     return result(F.coalesce(x["ok"], F.lit(False)), merged(base, known), merged(other, pairs(xml_root_tag=x["root"])), "XML does not parse")
 
 
-WIN_NAMES = dict(x.split(" ", 1) for x in "4624 Successful Logon|4625 Failed Logon|4634 Logoff|4647 User Initiated Logoff|4648 Logon With Explicit Credentials|4672 Special Privileges Assigned|4688 Process Created|4698 Scheduled Task Created|4700 Scheduled Task Enabled|4702 Scheduled Task Updated|4720 User Account Created|4722 User Account Enabled|4724 Password Reset Attempt|4725 User Account Disabled|4726 User Account Deleted|4740 User Account Locked Out|4756 Member Added to Security Group|4768 Kerberos TGT Requested|4769 Kerberos Service Ticket Requested|4776 NTLM Authentication|5140 Network Share Accessed|5156 Windows Filtering Platform Connection Permitted|5157 Windows Filtering Platform Connection Blocked".split("|"))
-WIN_ACTION = {"4624": "allow", "4648": "allow", "5156": "allow", "4625": "deny", "5157": "deny", "4740": "block"}
-WIN_LEVEL = {"4740": "high", "4688": "low"} | {k: "medium" for k in ("5157", "4726", "4720", "4625")}
-
 
 def windows_event_xml(line: Column) -> Column:
     x = parse_xml(line)
@@ -323,7 +307,7 @@ def windows_event_xml(line: Column) -> Column:
     named = ("targetusername", "subjectusername", "accountname", "ipaddress", "sourceaddress", "workstationname", "ipport", "sourceport")
     extra = compact(F.transform(F.filter(data, lambda d: ~F.lower(d["name"]).isin(*named)), lambda d: F.struct(d["name"].alias("key"), d["value"].alias("value"))))
     fields = merged(const(device_type="endpoint", event_category="authentication"), pairs(
-        threat_signature_id=eid, threat_name=pick(eid, WIN_NAMES, F.concat(F.lit("EventID "), F.coalesce(eid, F.lit("None")))), event_action=pick(eid, WIN_ACTION, "unknown"), severity=pick(eid, WIN_LEVEL, "informational"),
+        threat_signature_id=eid, threat_name=pick(eid, V.WINDOWS_NAMES, F.concat(F.lit("EventID "), F.coalesce(eid, F.lit("None")))), event_action=pick(eid, V.WINDOWS_ACTION, "unknown"), severity=pick(eid, V.WINDOWS_SEVERITY, "informational"),
         timestamp_raw=g("system_timecreated_systemtime"), device_hostname=g("system_computer_computer"), log_channel=g("system_channel_channel"), event_level=g("system_level_level"), vendor=g("system_provider_name"),
         username=last(named[:3]), src_ip=last(named[3:6], ("::1", "127.0.0.1")), src_port=last(named[6:]), process_name=last(("newprocessname",)), command_line=last(("commandline",))))
     has = F.exists(F.map_keys(x["flat"]), lambda k: k.startswith("system_"))

@@ -39,12 +39,7 @@ def viewed(spark, d):
     return labelled(spark, d).withColumns({"client_key": crypto.client_key(F.col("client_ip"), KEY), "timestamp_reversal_flag": F.coalesce(t < F.lag(t).over(order), F.lit(False)).cast("int")})
 
 
-PAY = {
-    "payload_shell": r"(?i)(?:wget|curl)(?:\s|_)+[^&|;]*(?:%3b|;)(?:\s|_)*(?:bash|sh)|rm(?:\s|_)+-rf",
-    "payload_traversal": r"(?i)%2e%2e(?:/|%2f)|\.\./",
-    "payload_sqli": r"(?i)(?:''|%27)(?:\s|_)*(?:and|or)(?:\s|_)+\d+(?:\s|_)*=(?:\s|_)*\d+|union(?:\s|_)+select",
-    "payload_xss": r"(?i)%3cscript|<script",
-}
+PAY = {k: "(?i)" + p.replace("'", "''") for k, p in labels.PAYLOADS.items()}
 MASKS = "m AS (SELECT *, coalesce(regexp_matches(lower(user_agent), '" + "|".join(labels.SCANNERS) + "'), false) AS declared_scanner, coalesce(regexp_matches(user_agent, '^(Mozilla|Opera)/'), false) AS browser_style, coalesce(user_agent, '') = '' AS missing_user_agent, " + ", ".join(f"regexp_matches(concat(category_type, ' ', sub_key, ' ', coalesce(language, ''), ' ', metadata), '{p}') AS {k}" for k, p in PAY.items()) + " FROM s), "
 LABELS = MASKS + f"""p AS (SELECT *, payload_shell OR payload_traversal OR payload_sqli OR payload_xss AS payload_attack_pattern FROM m),
 l AS (SELECT *, CASE WHEN declared_scanner OR payload_attack_pattern THEN 'attack' WHEN browser_style THEN 'benign' ELSE 'uncertain' END AS weak_label,
