@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import exact, langid, minhash, packing, pii
-from tracewright.llm._common import staged, table
+from tracewright.llm._common import renamed, staged, table
 
 #: Texts whose language is less certain are rejected.
 LEAST_SCORE = 0.5
@@ -19,11 +19,11 @@ LEAST_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language that was learned, with some certainty."""
-    names = docs.columns
-    safe = docs.select(F.struct(*names).alias("__row"), F.col("text").cast("string").alias("text"))
+    names, docs = docs.columns, renamed(docs, "doc_id", "text", "lang")
+    row = F.struct(*docs.columns).alias("__row")
     model = langid.fit(docs)
-    got = langid.predict(safe, model).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return got.select(*[F.col(f"__row.`{c}`").alias(c) for c in names])
+    got = langid.predict(docs.select(row, F.col("text").cast("string").alias("text")), model).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return got.select("__row.*").toDF(*names)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +38,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become surrogates; n_chars follows the new text."""
-    out = pii.replace(docs).select(*docs.columns)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+    names, plain = docs.columns, renamed(docs, "doc_id", "text", "n_chars")
+    out = pii.replace(plain).select(*plain.columns)
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.toDF(*names)
 
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,6 +62,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def renamed(docs: DataFrame, *keep: str) -> DataFrame:
+    """``docs`` with all columns but ``keep`` named by their position, so that no
+    name of theirs can clash or needs quoting; ``toDF`` gives the names back."""
+    return docs.toDF(*[c if c in keep else f"__c{k}" for k, c in enumerate(docs.columns)])
+
+
 class Memo(dict):
     """A dict that makes what is missing, in two generations: when the young
     one is full it becomes the old one, so what is in use stays."""

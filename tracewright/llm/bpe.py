@@ -54,6 +54,20 @@ def byte_symbols() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+def unassigned() -> str:
+    """A character class of the code points that Python's Unicode does not know:
+    other versions may, so their classes are the tokenizer library's to tell."""
+    out, start = [], None
+    for c in range(0x110001):
+        gap = c < 0x110000 and unicodedata.category(chr(c)) == "Cn"
+        if gap and start is None:
+            start = c
+        elif not gap and start is not None:
+            out.append(f"\\U{start:08x}-\\U{c - 1:08x}")
+            start = None
+    return "[" + "".join(out) + "]"
+
+
 def sufficient_lookahead(merges: list[tuple[str, str]], size) -> int:
     """Symbols right of a token's end that can still decide about that token.
 
@@ -113,6 +127,8 @@ class BpeModel:
         self.split_any = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^%s\p{L}\p{N}]+" % SPACE, regex.V1)
         # the same for texts in which \w, \d and \s mean the classes above
         self.split_latin = re.compile(r"[^\W\d_]+|'s|'t|'re|'ve|'m|'ll|'d|\d|(?:[^\w\s]|_)+")
+        self.path, self.library = path, None
+        self.doubtful = re.compile(unassigned())
         self.beyond = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u02ff]")
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.blank = re.compile(f"[{SPACE}]+")
@@ -135,8 +151,20 @@ class BpeModel:
     def words(self, text: str) -> list[str]:
         """The words of a text; white space only parts them, so it need not be
         collapsed first."""
+        beyond = self.beyond.search(text)
+        if beyond and self.doubtful.search(text):
+            return self._library_words(text)
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return (self.split_any if self.beyond.search(text) else self.split_latin).findall(text)
+        return (self.split_any if beyond or self.beyond.search(text) else self.split_latin).findall(text)
+
+    def _library_words(self, text: str) -> list[str]:
+        """The words of a text with code points unknown here."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        text = self.library.normalizer.normalize_str(text)
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Merge by rank, the leftmost of equal ranks first."""

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import partitions_for, staged, table
+from ._common import partitions_for, renamed, staged, table
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 KEY_BITS, WINDOW_BYTES, BUCKET = 64, 32 << 20, 64
@@ -216,6 +216,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Dropped documents are found by id and text hash. Where rows that do not
     differ in either tie for a group, one of them stays.
     """
+    original, docs = docs.columns, renamed(docs, "doc_id", "text")
     marks = dedup(docs)
     dropped = marks.where("not kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")).groupBy("__id", "__sha").agg(F.count(F.lit(1)).alias("__n"))
     keep = marks.where("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"))
@@ -235,7 +236,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     out = hashed.join(dropped.hint("shuffle_hash"), same(dropped), "left_anti").select(*names)
     if tied.limit(1).count():
         out = out.unionByName(hashed.join(tied, same(tied), "left_semi").dropDuplicates(["doc_id", "__sha"]).select(*names))
-    return out
+    return out.toDF(*original)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

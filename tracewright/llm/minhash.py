@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Memo, staged, table
+from ._common import Memo, renamed, staged, table
 
 WORDS = re.compile(r"\w+")
 SHINGLE, REGISTERS, ROWS, SIMILARITY = 5, 120, 5, 0.8
@@ -310,12 +310,13 @@ def classes(docs: DataFrame, least: float = SIMILARITY, m: int = REGISTERS, rows
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`classes` keeps, with all their columns."""
+    original, docs = docs.columns, renamed(docs, "doc_id", "text")
     marks = staged(classes(docs), "near-marks")
     gone = staged(marks.where("not kept").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct(), "near-gone")
     tied = staged(marks.where("kept and node is not null").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")).join(gone, ["__id", "__node"], "left_semi"), "near-tied")
     repeated = gone.join(marks.where("kept").select(F.col("doc_id").alias("__id")), "__id", "left_semi").limit(1).count() > 0 or gone.where("__id is null").limit(1).count() > 0
     if not repeated:  # ids tell dropped from kept
-        return docs.join(gone.select("__id").distinct().hint("shuffle_hash"), docs["doc_id"] == F.col("__id"), "left_anti").select(*docs.columns)
+        return docs.join(gone.select("__id").distinct().hint("shuffle_hash"), docs["doc_id"] == F.col("__id"), "left_anti").select(*docs.columns).toDF(*original)
 
     def run(batches):
         sh = shingler()
@@ -328,7 +329,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     same = lambda other: keyed["doc_id"].eqNullSafe(other["__id"]) & (keyed["__key"] == other["__node"])
     rest = keyed.join(gone, same(gone), "left_anti")
     one = keyed.join(tied, same(tied), "left_semi").dropDuplicates(["doc_id", "__key"])
-    return rest.unionByName(one).select(*docs.columns)
+    return rest.unionByName(one).select(*docs.columns).toDF(*original)
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

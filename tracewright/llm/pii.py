@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import staged, table
+from ._common import renamed, staged, table
 
 KEY = "tracewright-surrogates-1"
 MAX_NONCE = 64
@@ -185,7 +185,9 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     Null texts stay null with no entities; empty texts stay empty. Repeated
     rows and null ids get what their text gets. All other columns pass.
     """
-    keep = [c for c in docs.columns if c not in ("text", "n_entities", "kinds")]
+    names = [c for c in docs.columns if c not in ("n_entities", "kinds")]
+    docs = renamed(docs.drop("n_entities", "kinds"), "text")
+    keep = [c for c in docs.columns if c != "text"]
     some = staged(nonces(docs, key), "pii-nonces")
     inner = docs.select(F.struct(*[docs[c] for c in keep]).alias("__row") if keep else F.struct(F.lit(0).alias("__none")).alias("__row"), docs["text"].cast("string").alias("__text")).withColumn("__found", found(F.col("__text")))
     if some.limit(1).count():
@@ -202,7 +204,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     text = F.when(F.coalesce(F.size("__found"), F.lit(0)) <= 0, F.col("__text")).otherwise(F.array_join(F.transform(F.arrays_zip(between.alias("b"), new.alias("s")), lambda z: F.concat(z["b"], F.coalesce(z["s"], F.lit("")))), ""))
     out = inner.select("__row", text.alias("text"), F.greatest(F.coalesce(F.size("__found"), F.lit(0)), F.lit(0)).alias("n_entities"), F.array_sort(F.array_distinct(F.transform("__found", lambda x: x["kind"]))).alias("kinds"))
     order = [F.col(f"__row.`{c}`").alias(c) if c in keep else F.col("text") for c in docs.columns if c in keep or c == "text"]
-    return out.select(*order, "n_entities", "kinds")
+    return out.select(*order, "n_entities", "kinds").toDF(*names, "n_entities", "kinds")
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
