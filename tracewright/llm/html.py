@@ -3,7 +3,13 @@
 The standard library's parser is fed in pieces; its events make *lines*: the
 text between two block-level boundaries, white space collapsed. Each line has
 the number of tags in it, its link text, its container path and whether an
-enclosing element is boilerplate by name, role, class or id. The text-to-tag
+enclosing element is boilerplate by tag, role, class or id. Of classes and ids
+only whole tokens count (``has-sidebar`` is no sidebar), and an element that is
+boilerplate by its class or id, or a form, stays if it has a content class, an
+article or main in it, or more than half of the page's votes. Related items
+stay for an article in them only if there is none elsewhere, comments and
+cookie notices for nothing else. Headers, footers, navigation and asides by tag
+or role stay for a main in them. The text-to-tag
 ratios of the lines are smoothed with a Gaussian and clustered in two by their
 threshold (the mean of the two clusters' means, iterated); the cluster above it
 votes for containers. The page's content region is the ``article`` or ``main``
@@ -16,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -31,22 +38,49 @@ BLOCK = frozenset(
     "summary table tbody td template textarea tfoot th thead title tr ul".split()
 )
 DROPPED = frozenset(
-    "script style noscript template head title nav header footer aside form iframe svg canvas object audio video math select textarea "
+    "script style noscript template head title iframe svg canvas object audio video math select textarea "
     "button menu dialog search input label datalist map".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side-?bar|comments?|comment-?list|disqus\w*|respond|cookies?|consent|gdpr|notice|notices|"
-    r"alert|newsletter|subscri\w+|social|share|sharing|related|recommend\w*|breadcrumbs?|menu|nav|navbar|navigation|masthead|topbar|header|footer|"
-    r"popup|pop-up|modal|overlay|widget|pagination|pager|login|signup|skip-?link)(?:$|[\s_-])",
-    re.I,
-)
-CONTENT = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body)(?:$|[\s_-])", re.I)
+#: Elements by tag that are dropped unless a main (a form: an article, or most votes) is in them.
+FRAMES = frozenset("header footer nav aside form".split())
+_BOX = r"(?:[-_]+(?:top|bottom|left|right|inner|outer|wrap|wrapper|container|box|block|area|section|bar|list|links?|items?|buttons?|btns?|icons?|form|panel|group|row|primary|secondary|desktop|mobile|sticky|fixed|\d+))*"
+_SITE = r"(?:(?:site|page|main|global|top|bottom|left|right|primary|secondary|mobile|desktop|sticky|fixed|footer|header|sidebar|nav|social|cookies?)[-_]+)*"
+_COMMENT = r"comments?|comment-?list|disqus\w*|respond|cookies?|consent|gdpr"
+_RELATED = r"related|recommend\w*"
+_FURNITURE = r"ads?|advert\w*|sponsor\w*|promo|promos|promotions?|banner|side-?bar|newsletter|subscri\w+|social|share|sharing|breadcrumbs?|menu|nav|navbar|navigation|footer|pagination|pager"
+_OTHER = r"notices?|alert|masthead|topbar|header|popup|pop-up|modal|overlay|widget|login|signup|skip-?link"
+_POST = r"(?:(?:post|article|entry|story|blog)[-_]+)?"
+
+
+def _tokens(words: str) -> re.Pattern:
+    return re.compile(words, re.I)
+
+
+#: kind → pattern of a whole class token or id; the first that matches wins.
+NAMES = {
+    "comment": _tokens(rf"{_SITE}{_POST}(?:{_COMMENT})(?:[-_]+(?:{_COMMENT}|{_FURNITURE}|{_OTHER}))*{_BOX}"),
+    "related": _tokens(rf"{_SITE}{_POST}(?:{_RELATED})(?:[-_]+(?:posts?|articles?|stories|content|{_FURNITURE}))*{_BOX}"),
+    "name": _tokens(rf"{_SITE}(?:{_POST}(?:{_FURNITURE})|{_OTHER})(?:[-_]+(?:{_FURNITURE}|{_OTHER}))*{_BOX}"),
+}
+CONTENT = _tokens(r"(?:(?:main|page|site|article|post|entry|story|blog)[-_]+)*(?:article|content|main|post|entry|story|body)(?:[-_]+(?:body|content|text|main|wrap|wrapper|inner|container|area))*")
 CLOSES = {"p": frozenset({"p"}), "li": frozenset({"li", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"}), "tr": frozenset({"tr", "td", "th", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"}), "option": frozenset({"option"})}
 SCOPES = frozenset("article aside body div section main nav header footer form table ul ol dl blockquote td th figure details fieldset li".split())
 SPACE = re.compile(r"\s+")
 PIECE = 1 << 16
 SIGMA = 1.0
+#: Characters a tag from which a line votes wherever the clusters part, so that no long paragraph hides the others.
+PROSE = 80.0
+
+
+@lru_cache(4096)
+def named(words: str) -> str:
+    """The kind of boilerplate that the tokens of a class and an id tell, or ""."""
+    tokens = words.split()
+    kinds = [k for k, pattern in NAMES.items() if any(pattern.fullmatch(t) for t in tokens)]
+    if not kinds or kinds[0] != "comment" and any(CONTENT.fullmatch(t) for t in tokens):
+        return ""
+    return kinds[0]
 
 
 class Line:
@@ -66,7 +100,9 @@ class Lines(HTMLParser):
         self.stack: list[tuple[str, int, bool]] = []  # tag, number, dropped
         self.made = self.tags = self.link = self.links = 0
         self.parts: list[str] = []
-        self.is_article: set[int] = set()
+        self.is_article: dict[int, tuple[int, ...]] = {}  # number → numbers of the elements round it
+        self.is_main: set[int] = set()
+        self.doubtful: dict[int, str] = {}  # number → kind of boilerplate, unless it proves to be content
 
     def _end_line(self):
         text = SPACE.sub(" ", "".join(self.parts)).strip()
@@ -100,14 +136,22 @@ class Lines(HTMLParser):
             return
         a = {k: v or "" for k, v in attrs}
         words = f"{a.get('class', '')} {a.get('id', '')}"
-        dropped = bool(self.stack and self.stack[-1][2]) or tag in DROPPED or a.get("role", "").lower() in ROLES or "hidden" in a or a.get("aria-hidden") == "true"
-        if not dropped and words != " " and tag not in ("html", "body", "article", "main"):
-            dropped = bool(NAMES.search(words)) and not (tag in ("h1", "h2", "h3", "p") and "header" in words.lower())
+        role = a.get("role", "").lower()
+        dropped = bool(self.stack and self.stack[-1][2]) or tag in DROPPED or "hidden" in a or a.get("aria-hidden") == "true"
         self.made += 1
+        if tag in ("article", "main") or role in ("main", "article") or a.get("itemprop") == "articleBody":
+            if not dropped:
+                self.is_article[self.made] = tuple(n for _, n, _ in self.stack)
+                if "main" in (tag, role):
+                    self.is_main.add(self.made)
+        elif tag in FRAMES or role in ROLES:
+            self.doubtful[self.made] = "form" if tag == "form" else "frame"
+        elif words != " " and tag not in ("html", "body"):
+            kind = named(words)
+            if kind and not (tag in ("h1", "h2", "h3", "p") and "header" in words.lower()):
+                self.doubtful[self.made] = kind
         self.stack.append((tag, self.made, dropped))
         self.links += tag == "a"
-        if tag in ("article", "main") or a.get("role", "").lower() in ("main", "article") or a.get("itemprop") == "articleBody":
-            self.is_article.add(self.made)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -169,8 +213,50 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
-def main_lines(parser: Lines) -> list[str]:
+def voters(lines: list[Line]) -> list[Line]:
+    """Lines above the threshold of the smoothed ratios that are not mostly links."""
+    ratios = smoothed([x.ratio for x in lines])
+    cut = min(threshold(ratios), PROSE)
+    text = [x for x in lines if 2 * x.link < len(x.text)]
+    return [x for x, r in zip(lines, ratios) if r >= cut and 2 * x.link < len(x.text)] or text
+
+
+def without_boilerplate(parser: Lines) -> list[Line]:
+    """Lines in no element that is boilerplate and proves to be no content."""
+    doubtful = dict(parser.doubtful)
+
+    def outside(kinds):
+        return [x for x in lines if not any(doubtful.get(n) in kinds for n in x.path)]
+
+    def spare(kinds, numbers):
+        for n in numbers:
+            if doubtful.get(n) in kinds:
+                del doubtful[n]
+
     lines = [x for x in parser.lines if not x.dropped]
+    for n in parser.is_main:
+        spare(("frame", "form", "name", "related", "comment"), parser.is_article[n])
+    for around in parser.is_article.values():
+        if not any(doubtful.get(n) in ("frame", "related", "comment") for n in around):
+            spare(("form", "name"), around)
+    filled = {n for x in lines for n in x.path if n in parser.is_article}
+    if not any(not any(n in doubtful for n in parser.is_article[k]) for k in filled):
+        for k in filled:
+            if not any(doubtful.get(n) == "frame" for n in parser.is_article[k]):
+                spare(("form", "name", "related", "comment"), parser.is_article[k])
+    lines = outside(("frame", "comment"))
+    votes: dict[int, int] = {}
+    voting = voters(lines)
+    total = sum(len(x.text) for x in voting)
+    for x in voting:
+        for n in x.path:
+            votes[n] = votes.get(n, 0) + len(x.text)
+    spare(("form", "name", "related"), [n for n, v in votes.items() if 2 * v > total])
+    return outside(("form", "name", "related"))
+
+
+def main_lines(parser: Lines) -> list[str]:
+    lines = without_boilerplate(parser)
     if not lines:
         return []
     ratios = smoothed([x.ratio for x in lines])
