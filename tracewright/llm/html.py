@@ -11,17 +11,20 @@ stay for an article in them only if there is none elsewhere, comments and
 cookie notices for nothing else. Headers, footers, navigation and asides by tag
 or role stay for a main in them. The text-to-tag
 ratios of the lines are smoothed with a Gaussian and clustered in two by their
-threshold (the mean of the two clusters' means, iterated); the cluster above it
-votes for containers. The page's content region is the ``article`` or ``main``
-element(s) with the most votes if there are any, else the deepest container
-that holds most of the votes. All lines of the region are kept, the short ones
-too, but for boilerplate; so the ratios select regions, not single lines.
+threshold (the mean of the two clusters' means, iterated); the lines above it
+vote, by their length. The page's content region is all of its ``article`` and
+``main`` elements if there are any, else the deepest container (no paragraph,
+list or quotation) round all voting lines. All lines of the region are kept,
+short ones and links too, but for boilerplate; so the ratios select regions,
+not single lines. If the region is the whole page, link lines before the first
+and after the last voting line go, unless in a paragraph or heading.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -64,6 +67,9 @@ NAMES = {
     "name": _tokens(rf"{_SITE}(?:{_POST}(?:{_FURNITURE})|{_OTHER})(?:[-_]+(?:{_FURNITURE}|{_OTHER}))*{_BOX}"),
 }
 CONTENT = _tokens(r"(?:(?:main|page|site|article|post|entry|story|blog)[-_]+)*(?:article|content|main|post|entry|story|body)(?:[-_]+(?:body|content|text|main|wrap|wrapper|inner|container|area))*")
+#: What may be a region: a long paragraph, list or quotation is none.
+CONTAINERS = frozenset("html body div section table tbody tr td center form fieldset details".split())
+HEADINGS = frozenset("p h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"p": frozenset({"p"}), "li": frozenset({"li", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"}), "tr": frozenset({"tr", "td", "th", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"}), "option": frozenset({"option"})}
 SCOPES = frozenset("article aside body div section main nav header footer form table ul ol dl blockquote td th figure details fieldset li".split())
 SPACE = re.compile(r"\s+")
@@ -103,6 +109,7 @@ class Lines(HTMLParser):
         self.is_article: dict[int, tuple[int, ...]] = {}  # number → numbers of the elements round it
         self.is_main: set[int] = set()
         self.doubtful: dict[int, str] = {}  # number → kind of boilerplate, unless it proves to be content
+        self.tag_of: dict[int, str] = {}
 
     def _end_line(self):
         text = SPACE.sub(" ", "".join(self.parts)).strip()
@@ -139,6 +146,7 @@ class Lines(HTMLParser):
         role = a.get("role", "").lower()
         dropped = bool(self.stack and self.stack[-1][2]) or tag in DROPPED or "hidden" in a or a.get("aria-hidden") == "true"
         self.made += 1
+        self.tag_of[self.made] = tag
         if tag in ("article", "main") or role in ("main", "article") or a.get("itemprop") == "articleBody":
             if not dropped:
                 self.is_article[self.made] = tuple(n for _, n, _ in self.stack)
@@ -257,31 +265,27 @@ def without_boilerplate(parser: Lines) -> list[Line]:
 
 def main_lines(parser: Lines) -> list[str]:
     lines = without_boilerplate(parser)
-    if not lines:
-        return []
-    ratios = smoothed([x.ratio for x in lines])
-    cut = threshold(ratios)
-    votes: dict[int, int] = {}
-    total = 0
-    for x, r in zip(lines, ratios):
-        weight = (len(x.text) if r >= cut else 0) * (1 if 2 * x.link < len(x.text) else 0)
-        total += weight
-        for n in x.path:
-            votes[n] = votes.get(n, 0) + weight
-    articles = {n for n in parser.is_article if any(n in x.path for x in lines)}
+    articles = {n for x in lines for n in x.path if n in parser.is_article}
     if articles:
-        # outermost articles; what is within another one belongs to it
-        tops = {next(n for n in x.path if n in articles) for x in lines if articles.intersection(x.path)}
-        best = max(tops, key=lambda n: (votes.get(n, 0), -n))
-        region = {n for n in tops if votes.get(n, 0) >= 0.5 * votes.get(best, 0)} or {best}
-        return [x.text for x in lines if region.intersection(x.path)]
-    # the deepest container with most of the votes; it may be the page
-    best, depth = None, -1
-    for x in lines:
-        for d, n in enumerate(x.path):
-            if d > depth and total and votes[n] > 0.8 * total:
-                best, depth = n, d
-    return [x.text for x in lines if (best is None or best in x.path) and 2 * x.link <= len(x.text)]
+        return [x.text for x in lines if articles.intersection(x.path)]
+    voting = voters(lines)
+    if not voting:
+        return []
+    # the deepest container round all voting lines; it may be the page, but no
+    # container of a single line, which is a paragraph by another name
+    sizes = Counter(n for x in lines for n in x.path)
+    region, whole = None, True
+    for column in zip(*(x.path for x in voting)):
+        if len(set(column)) > 1:
+            break
+        if parser.tag_of[column[0]] in CONTAINERS and sizes[column[0]] > 1:
+            region, whole = column[0], parser.tag_of[column[0]] in ("html", "body")
+    inside = [x for x in lines if region is None or region in x.path]
+    if not whole:
+        return [x.text for x in inside]
+    # round the run of voting lines a page has menus; between them all is kept
+    first, last = inside.index(voting[0]), inside.index(voting[-1])
+    return [x.text for k, x in enumerate(inside) if first <= k <= last or 2 * x.link <= len(x.text) or any(parser.tag_of[n] in HEADINGS for n in x.path)]
 
 
 def extract_text(html: str | None) -> str:
