@@ -1,0 +1,38 @@
+"""Formats of personal data and secrets, and one surrogate for all spellings."""
+
+from __future__ import annotations
+
+import re
+
+from tracewright.llm import pii
+
+DOCS = "doc_id long, text string"
+
+
+def replaced(spark, texts):
+    rows = pii.replace(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    return {r.doc_id: r for r in rows}
+
+
+SECRETS = {
+    "Password: hunter2secret": "hunter2secret", "Token=AbCdEf0123456789": "AbCdEf0123456789", "API_KEY=0a1b2c3d4e5f6a7b": "0a1b2c3d4e5f6a7b",
+    "client_secret = qwertyuiop12": "qwertyuiop12", "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY": "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY",
+    '{"dbPassword": "S3cr!t.Pass"}': "S3cr!t.Pass", "Secret_Key: abcdefgh12345": "abcdefgh12345", "token = abc12345.def67890.ghi": "abc12345.def67890.ghi",
+}
+OTHERS = {"2001:db8::8a2e:370:7334": "ipv6", "fe80::1": "ipv6", "2001:0db8:85a3:0000:0000:8a2e:0370:7334": "ipv6", "::ffff:192.0.2.128": "ipv6", "555 123 4567": "phone"}
+
+
+def test_secrets_in_any_case_and_identifier_and_other_formats(spark):
+    got = replaced(spark, [*SECRETS, *[f"see {x}, please" for x in OTHERS], "std::vector a::b at 12:30:45 or 1:2:3, the author: someone"])
+    for k, (text, value) in enumerate(SECRETS.items()):
+        assert value not in got[k].text and got[k].text.startswith(text[: text.index(value)]) and got[k].kinds == ["secret"], text
+        assert not set(re.findall("[A-Za-z0-9]{4,}", value)) & set(re.findall("[A-Za-z0-9]+", got[k].text[text.index(value) :]))
+    for k, (value, kind) in enumerate(OTHERS.items(), len(SECRETS)):
+        assert value not in got[k].text and got[k].kinds == [kind] and got[k].n_entities == 1, value
+        assert got[k].text.startswith("see ") and got[k].text.endswith(", please")
+    assert got[len(got) - 1].n_entities == 0
+
+
+def test_spellings_of_ipv6_are_one(spark):
+    got = replaced(spark, ["2001:db8::1", "2001:0DB8:0:0:0:0:0:0001", "::ffff:1.2.3.4", "::ffff:102:304"])
+    assert got[0].text == got[1].text != got[2].text == got[3].text

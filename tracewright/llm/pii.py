@@ -1,13 +1,18 @@
 """Personal data to surrogates, with DataFrame functions only.
 
 Detected: e-mail addresses, phone numbers, payment cards, social security
-numbers, IBANs, IPv4 addresses, access keys, secrets after a name ("token = …")
-and persons after a title. Each is replaced by a surrogate of its kind, made
+numbers, IBANs, IPv4 and IPv6 addresses, access keys, secrets after a name
+("token = …", "AWS_SECRET_ACCESS_KEY=…", '"Password": "…"', in any case and
+within any identifier) and persons after a title. Each is replaced by a surrogate of its kind, made
 from SHA-256 of a secret key, the kind and the entity's normal form (so any
 spelling of a number gets the same digits: coreference), that keeps its format:
 digits for digits, letters for letters in their case, hexadecimal for
 hexadecimal, separators where they were, a valid check digit where there was
-one, and names of the title's gender in the script of the original.
+one, and names of the title's gender in the script of the original. An IPv6
+address gets one of the local range fd00::/8, written out.
+
+A secret has 8 characters or more; marks like . ! @ # $ belong to it only if it
+has a digit too.
 
 Distinct entities must stay distinct. Before anything is replaced, the distinct
 normal forms of the corpus are gathered and their surrogates compared with each
@@ -31,21 +36,32 @@ MAX_NONCE = 64
 
 MALE, FEMALE = r"(?:Mr|Herr|Señor|Sr|Monsieur|Mister|г-н|господин)", r"(?:Mrs|Ms|Miss|Mme|Frau|Señora|Sra|Madame|г-жа|госпожа)"
 NAME = r"\p{Lu}\p{Ll}+(?:[ -]\p{Lu}\p{Ll}+){0,2}"
-SECRET = r"(?:token|passwd|password|secret|api[_-]?key|access[_-]?key|auth)"
+SECRET = r"(?i:token|passwd|password|passphrase|pwd|secret(?:[_-]?key)?|api[_-]?key|access[_-]?key|private[_-]?key|auth)[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
+MARKS = r"[A-Za-z0-9+/_.~!@#$%^*=:-]"
+IPV4 = r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+HEX = r"[0-9A-Fa-f]{1,4}"
+#: All eight groups or "::", the last two perhaps as IPv4; a digit or four letters tell it from code.
+IPV6 = (
+    r"(?<!:)(?=[0-9A-Fa-f:.]*(?:\d|[0-9A-Fa-f]{4}))(?:"
+    rf"(?:(?:{HEX}:){{6}}|(?:{HEX}(?::{HEX}){{0,4}})?::(?:{HEX}:){{0,5}}){IPV4}(?![\d.]*\d)|"
+    rf"(?:(?:{HEX}:){{7}}{HEX}|{HEX}(?::{HEX}){{0,6}}::(?:{HEX}(?::{HEX}){{0,5}})?|::{HEX}(?::{HEX}){{0,6}})(?![\p{{L}}\p{{N}}_]|:[0-9A-Fa-f]))"
+)
 #: kind → Java regex; the first that matches at a place wins.
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": SECRET + r"\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9+/_-]{8,}",
+    "secret": SECRET + rf"(?:(?={MARKS}*\d){MARKS}{{8,}}(?<![.!:])|[A-Za-z0-9+/_-]{{8,}})",
     "access_key": r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Z0-9])|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ip": r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
+    "ipv6": IPV6,
+    "ip": IPV4 + r"(?![\d.]*\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?!\d)",
     "card": r"\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?!\d)|3[47]\d{2}[ -]?\d{6}[ -]?\d{5}(?!\d)",
-    "phone": r"\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|\d{3}[.-]\d{3}[.-]\d{4}(?!\d)",
+    "phone": r"\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)",
     "person_m": MALE + r"\.? " + NAME,
     "person_f": FEMALE + r"\.? " + NAME,
 }
-ALL = r"(?<![\p{L}\p{N}_])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+#: A secret's name may be the end of an identifier; all others start a word.
+ALL = r"(?:(?<![\p{L}\p{N}_])(?:" + "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "secret") + f")|{PATTERNS['secret']})"
 ALL = ALL.replace(r"([ -]?)", r"(?<sep>[ -]?)").replace(r"\1", r"\k<sep>")
 
 SYLLABLES = ["bar", "bel", "cor", "dan", "del", "fen", "gar", "hal", "jor", "kel", "lan", "mar", "nor", "per", "quin", "ros", "sal", "tor", "val", "win", "yar", "zel", "bri", "cas", "dor", "els", "far", "gil", "hol", "ker", "lor", "mel"]
@@ -68,13 +84,26 @@ def kind_of(e: Column) -> Column:
 
 def value_of(e: Column, kind: Column) -> Column:
     """The part of a match that is replaced: without a secret's name or a title."""
-    secret = F.regexp_extract(e, r"([A-Za-z0-9+/_-]+)$", 1)
+    secret = F.regexp_replace(e, "^" + SECRET, "")
     person = F.regexp_replace(e, "^(?:" + MALE + "|" + FEMALE + r")\.? ", "")
     return F.when(kind == "secret", secret).when(kind.startswith("person"), person).otherwise(e)
 
 
+def full_ipv6(v: Column) -> Column:
+    """The eight groups of an IPv6 address in hexadecimal without leading zeros."""
+    octet = lambda x, k: F.lpad(F.conv(F.get(x, F.lit(k)), 10, 16), 2, "0")
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    groups = lambda x: F.filter(F.split(x, ":"), lambda g: g != "")
+    hexa = bound(F.split(F.substring_index(v, ":", -1), "\\."), lambda x: F.when(F.size(x) == 4, F.concat(octet(x, 0), octet(x, 1), F.lit(":"), octet(x, 2), octet(x, 3))).otherwise(F.get(x, F.lit(0))))
+    low = F.lower(F.concat(F.regexp_extract(v, "^(.*:)", 1), hexa))
+    halves = bound(low, lambda x: F.array(groups(F.substring_index(x, "::", 1)), F.when(x.contains("::"), groups(F.substring_index(x, "::", -1))).otherwise(F.array().cast("array<string>"))))
+    full = bound(halves, lambda x: F.concat(F.get(x, F.lit(0)), F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.size(F.flatten(x)))), F.get(x, F.lit(1))))
+    return F.array_join(F.transform(full, lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
+
+
 def normal(v: Column, kind: Column) -> Column:
-    """What makes two spellings the same entity."""
+    """What makes two spellings the same entity, but for IPv6: see ``full_ipv6``;
+    surrogates of that kind are in full already."""
     digits = F.regexp_replace(v, "[^0-9A-Za-z]", "")
     return F.when(kind.isin("phone", "card", "ssn", "iban"), digits).when(kind == "email", F.lower(v)).otherwise(v)
 
@@ -123,8 +152,8 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(ds, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0)))
 
 
-def surrogate(v: Column, kind: Column, nonce: Column, key: str = KEY) -> Column:
-    bits = _bits(kind, normal(v, kind), nonce, key)
+def surrogate(v: Column, kind: Column, norm: Column, nonce: Column, key: str = KEY) -> Column:
+    bits = _bits(kind, norm, nonce, key)
     n = F.length(v)
     no, zero = F.lit(False), F.lit(0)
     stop = F.when(kind == "email", n - F.length(F.regexp_extract(v, r"(\.[A-Za-z]+)$", 1))).otherwise(n)
@@ -136,6 +165,8 @@ def surrogate(v: Column, kind: Column, nonce: Column, key: str = KEY) -> Column:
     check = F.pmod(-_luhn_sum(F.concat(digits(body), F.lit("0"))), F.lit(10)).cast("string")
     card = F.when(_luhn_sum(digits(v)) % 10 == 0, F.concat(body, check)).otherwise(plain)
     ip = F.concat_ws(".", (F.pmod(_byte(bits, 0), F.lit(63)) + 128).cast("string"), *[F.pmod(_byte(bits, k), F.lit(256)).cast("string") for k in (1, 2)], (F.pmod(_byte(bits, 3), F.lit(254)) + 1).cast("string"))
+    group = lambda k: F.lower(F.hex(_byte(bits, k)))
+    ipv6 = F.concat_ws(":", F.concat(F.lit("fd"), F.lpad(F.lower(F.hex(F.pmod(_byte(bits, 0), F.lit(256)))), 2, "0")), *map(group, range(1, 8)))
 
     def person(g: str) -> Column:
         def name(script: str, parts: list[str]) -> Column:
@@ -144,19 +175,18 @@ def surrogate(v: Column, kind: Column, nonce: Column, key: str = KEY) -> Column:
 
         return F.when(v.rlike("\\p{IsCyrillic}"), name("cyrillic", CYRILLIC)).otherwise(name("latin", SYLLABLES))
 
-    return F.when(kind == "card", card).when(kind == "ip", ip).when(kind == "person_m", person("m")).when(kind == "person_f", person("f")).otherwise(plain)
+    return F.when(kind == "card", card).when(kind == "ip", ip).when(kind == "ipv6", ipv6).when(kind == "person_m", person("m")).when(kind == "person_f", person("f")).otherwise(plain)
 
 
 def found(text: Column) -> Column:
     """Array of (kind, match, value, norm) of a text, in order."""
     pieces = F.regexp_extract_all(text, F.lit(ALL), F.lit(0))
 
-    def describe(e: Column) -> Column:
-        kind = kind_of(e)
-        value = value_of(e, kind)
-        return F.struct(kind.alias("kind"), e.alias("match"), value.alias("value"), normal(value, kind).alias("norm"))
-
-    return F.transform(pieces, describe)
+    # one step each: what a lambda names is computed once
+    kinds = F.transform(pieces, lambda e: F.struct(kind_of(e).alias("kind"), e.alias("match")))
+    values = F.transform(kinds, lambda x: F.struct(x["kind"].alias("kind"), x["match"].alias("match"), value_of(x["match"], x["kind"]).alias("value")))
+    norm = lambda x: F.when(x["kind"] == "ipv6", full_ipv6(x["value"])).otherwise(normal(x["value"], x["kind"]))
+    return F.transform(values, lambda x: F.struct(x["kind"].alias("kind"), x["match"].alias("match"), x["value"].alias("value"), norm(x).alias("norm")))
 
 
 def nonces(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -166,7 +196,7 @@ def nonces(docs: DataFrame, key: str = KEY) -> DataFrame:
     each = docs.select(text.alias("text")).select(F.explode(found(F.col("text"))).alias("f")).select("f.kind", "f.norm", "f.value").groupBy("kind", "norm").agg(F.min("value").alias("value"))
     known = staged(each.withColumn("nonce", F.lit(0)), "pii-entities")
     for _ in range(MAX_NONCE):
-        drawn = known.withColumn("s", normal(surrogate(F.col("value"), F.col("kind"), F.col("nonce"), key), F.col("kind")))
+        drawn = known.withColumn("s", normal(surrogate(F.col("value"), F.col("kind"), F.col("norm"), F.col("nonce"), key), F.col("kind")))
         # the entity that holds a surrogate: real ones before drawn ones
         claims = drawn.select("kind", F.col("s").alias("form"), F.struct(F.lit(1).alias("drawn"), "nonce", "norm").alias("by")).union(
             known.select("kind", F.col("norm").alias("form"), F.struct(F.lit(0).alias("drawn"), F.lit(0).alias("nonce"), "norm").alias("by")))
@@ -199,7 +229,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
         nonce = lambda x: F.coalesce(F.element_at("__n", F.concat_ws("\x1f", x["kind"], x["norm"])), F.lit(0))
     else:
         nonce = lambda x: F.lit(0)
-    new = F.transform("__found", lambda x: F.concat(F.substring(x["match"], F.lit(1), F.length(x["match"]) - F.length(x["value"])), surrogate(x["value"], x["kind"], nonce(x), key)))
+    new = F.transform("__found", lambda x: F.concat(F.substring(x["match"], F.lit(1), F.length(x["match"]) - F.length(x["value"])), surrogate(x["value"], x["kind"], x["norm"], nonce(x), key)))
     between = F.split("__text", ALL, -1)
     text = F.when(F.coalesce(F.size("__found"), F.lit(0)) <= 0, F.col("__text")).otherwise(F.array_join(F.transform(F.arrays_zip(between.alias("b"), new.alias("s")), lambda z: F.concat(z["b"], F.coalesce(z["s"], F.lit("")))), ""))
     out = inner.select("__row", text.alias("text"), F.greatest(F.coalesce(F.size("__found"), F.lit(0)), F.lit(0)).alias("n_entities"), F.array_sort(F.array_distinct(F.transform("__found", lambda x: x["kind"]))).alias("kinds"))
