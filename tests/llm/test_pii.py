@@ -36,3 +36,11 @@ def test_secrets_in_any_case_and_identifier_and_other_formats(spark):
 def test_spellings_of_ipv6_are_one(spark):
     got = replaced(spark, ["2001:db8::1", "2001:0DB8:0:0:0:0:0:0001", "::ffff:1.2.3.4", "::ffff:102:304"])
     assert got[0].text == got[1].text != got[2].text == got[3].text
+
+
+def test_spellings_of_a_phone_are_one(spark):
+    got = replaced(spark, ["+1 (743) 555-3824", "+17435553824", "1 (743) 555-3824", "+1 743 555 3824", "+49 30 1234567", "+49301234567", "(743) 555-3824"])
+    digits = {k: re.sub(r"\D", "", r.text) for k, r in got.items()}
+    assert len({digits[k] for k in range(4)}) == 1 and digits[0][0] == "1" and digits[0] != "17435553824"
+    assert digits[4] == digits[5] and digits[4].startswith("49") and digits[4] != "49301234567"
+    assert got[0].text.startswith("+1 (") and got[2].text.startswith("1 (") and digits[6] not in ("7435553824", digits[0][1:])

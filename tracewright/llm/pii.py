@@ -64,6 +64,9 @@ PATTERNS = {
 ALL = r"(?:(?<![\p{L}\p{N}_])(?:" + "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "secret") + f")|{PATTERNS['secret']})"
 ALL = ALL.replace(r"([ -]?)", r"(?<sep>[ -]?)").replace(r"\1", r"\k<sep>")
 
+#: Country calling codes of one and two digits; all others have three.
+CODES = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
+
 SYLLABLES = ["bar", "bel", "cor", "dan", "del", "fen", "gar", "hal", "jor", "kel", "lan", "mar", "nor", "per", "quin", "ros", "sal", "tor", "val", "win", "yar", "zel", "bri", "cas", "dor", "els", "far", "gil", "hol", "ker", "lor", "mel"]
 GIVEN = {
     ("m", "latin"): ["Adam", "Bruno", "Carl", "David", "Erik", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Martin", "Nico", "Oscar", "Paul"],
@@ -105,7 +108,8 @@ def normal(v: Column, kind: Column) -> Column:
     """What makes two spellings the same entity, but for IPv6: see ``full_ipv6``;
     surrogates of that kind are in full already."""
     digits = F.regexp_replace(v, "[^0-9A-Za-z]", "")
-    return F.when(kind.isin("phone", "card", "ssn", "iban"), digits).when(kind == "email", F.lower(v)).otherwise(v)
+    abroad = (kind == "phone") & (v.startswith("+") | (F.length(digits) > 10))
+    return F.when(abroad, F.concat(F.lit("+"), digits)).when(kind.isin("phone", "card", "ssn", "iban"), digits).when(kind == "email", F.lower(v)).otherwise(v)
 
 
 def _bits(kind: Column, norm: Column, nonce: Column, key: str) -> Column:
@@ -157,7 +161,10 @@ def surrogate(v: Column, kind: Column, norm: Column, nonce: Column, key: str = K
     n = F.length(v)
     no, zero = F.lit(False), F.lit(0)
     stop = F.when(kind == "email", n - F.length(F.regexp_extract(v, r"(\.[A-Za-z]+)$", 1))).otherwise(n)
-    start = F.when(kind == "access_key", F.lit(4)).when(kind == "iban", F.lit(2)).when((kind == "phone") & v.startswith("+"), F.length(F.regexp_extract(v, r"^(\+\d{1,3})(?:\D|\d{9,})", 1))).otherwise(zero)
+    # a phone's country code is told by its normal form, so all spellings keep the same digits
+    code = F.length(F.regexp_extract(norm, rf"^\+({CODES})", 1))
+    country = F.when(code == 1, F.length(F.regexp_extract(v, r"^(\D*\d)", 1))).when(code == 2, F.length(F.regexp_extract(v, r"^(\D*\d\D*\d)", 1))).otherwise(F.length(F.regexp_extract(v, r"^(\D*\d\D*\d\D*\d)", 1)))
+    start = F.when(kind == "access_key", F.lit(4)).when(kind == "iban", F.lit(2)).when((kind == "phone") & norm.startswith("+"), country).otherwise(zero)
     plain = _charwise(v, bits, start, stop, (kind == "secret") & v.rlike("^[0-9a-f]+$") if kind is not None else no)
     # cards: the last digit again makes the check sum right where it was right
     digits = lambda x: F.regexp_replace(x, "[^0-9]", "")
@@ -191,19 +198,20 @@ def found(text: Column) -> Column:
 
 def nonces(docs: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, norm, nonce) of entities whose first surrogate collides with
-    another entity or its surrogate; usually no rows."""
+    another entity or its surrogate; usually no rows. Each spelling's own
+    surrogate is compared, as it will be put into the text."""
     text = F.col("text").cast("string")
-    each = docs.select(text.alias("text")).select(F.explode(found(F.col("text"))).alias("f")).select("f.kind", "f.norm", "f.value").groupBy("kind", "norm").agg(F.min("value").alias("value"))
+    each = docs.select(text.alias("text")).select(F.explode(found(F.col("text"))).alias("f")).select("f.kind", "f.norm", "f.value").distinct()
     known = staged(each.withColumn("nonce", F.lit(0)), "pii-entities")
     for _ in range(MAX_NONCE):
         drawn = known.withColumn("s", normal(surrogate(F.col("value"), F.col("kind"), F.col("norm"), F.col("nonce"), key), F.col("kind")))
         # the entity that holds a surrogate: real ones before drawn ones
         claims = drawn.select("kind", F.col("s").alias("form"), F.struct(F.lit(1).alias("drawn"), "nonce", "norm").alias("by")).union(
-            known.select("kind", F.col("norm").alias("form"), F.struct(F.lit(0).alias("drawn"), F.lit(0).alias("nonce"), "norm").alias("by")))
+            known.select("kind", F.col("norm").alias("form"), F.struct(F.lit(0).alias("drawn"), F.lit(0).alias("nonce"), "norm").alias("by"))).distinct()
         held = claims.groupBy("kind", "form").agg(F.min("by").alias("by"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        clash = staged(drawn.join(held.select("kind", F.col("form").alias("s"), "by"), ["kind", "s"]).where((F.col("by.norm") != F.col("norm")) | (F.col("by.drawn") == 0)).select("kind", "norm", F.lit(1).alias("again")), "pii-clash")
+        clash = staged(drawn.join(held.select("kind", F.col("form").alias("s"), "by"), ["kind", "s"]).where((F.col("by.norm") != F.col("norm")) | (F.col("by.drawn") == 0)).select("kind", "norm", F.lit(1).alias("again")).distinct(), "pii-clash")
         if not clash.limit(1).count():
-            return known.where("nonce > 0").select("kind", "norm", "nonce")
+            return known.where("nonce > 0").select("kind", "norm", "nonce").distinct()
         known = staged(known.join(clash, ["kind", "norm"], "left").select("kind", "norm", "value", (F.col("nonce") + F.coalesce("again", F.lit(0))).alias("nonce")), "pii-entities")
     raise RuntimeError("surrogates still collide; the space of a kind is too small")
 
