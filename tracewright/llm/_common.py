@@ -6,6 +6,9 @@ import math
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -68,6 +71,33 @@ def renamed(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.toDF(*[c if c in keep else f"__c{k}" for k, c in enumerate(docs.columns)])
 
 
+_kept: dict = {}
+
+
+def kept(key: tuple, make):
+    """What ``make`` gave for ``key``, kept by this Python worker for its later
+    tasks. Only the last key's value is: a worker that goes on to another
+    operator frees what the former one held."""
+    if key not in _kept:
+        _kept.clear()
+        pa.default_memory_pool().release_unused()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def sliced(batches, column: int, size: int = 4 << 20):
+    """The batches in slices of about ``size`` bytes of text in ``column``, so
+    that Python never holds all texts of a large batch as objects."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < b.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, side="right")))
+            yield b.slice(start, stop - start)
+            start = stop
+
+
 class Memo(dict):
     """A dict that makes what is missing, in two generations: when the young
     one is full it becomes the old one, so what is in use stays."""
