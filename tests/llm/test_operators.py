@@ -315,3 +315,30 @@ def test_odd_tables(spark, name):
 def test_odd_packing(spark):
     df, rows = odd_docs(spark)
     assert len(packing.pack(df).collect()) == len(rows) and packing.pack(df.limit(0)).collect() == []
+
+
+def test_words_side_by_side_equal_one_by_one():
+    r = random.Random(6)
+    pieces = {"▁": (0.1, 0.2), **{"".join(r.choice("abcdé") for _ in range(r.randrange(1, 5))): (r.random() / 9, r.random() / 9) for _ in range(90)}, "▁ab": (0.05, 0.01)}
+    m = langid.Model(["x", "y"], pieces)
+    words = ["".join(r.choice("abcdéz") for _ in range(r.randrange(1, 70))) for _ in range(200)] + ["日本", "a" * 300]
+    assert np.allclose(m.words(words), [m.word(w) for w in words], rtol=1e-9)
+
+
+def test_merges_side_by_side_equal_the_transducer(model):
+    r = random.Random(7)
+    words = ["".join(r.choice("aetionshréß日!") for _ in range(r.randrange(1, 40))) for _ in range(300)] + ["x" * 700]
+    assert model.many_word_ids(words) == [model.word_ids(w) for w in words]
+
+
+def test_long_texts_go_through_the_stream(model, library):
+    """50 MB in pieces: what the encoder holds does not grow."""
+    text = (prose(5, 400) + " don't " + "é" * 50 + "\n") * 60
+    coder = bpe.WordCoder(bpe.default_path(), list)
+    want = library.encode(text, add_special_tokens=False).ids
+    assert [i for words in coder._long(text, 1000) for w in words for i in w] == want
+    stream, most = bpe.RenderedStream(coder), 0
+    for _ in range(50_000_000 // len(text)):
+        assert stream.feed(text)
+        most = max(most, len(stream.held) + len(stream.open.window if stream.open else ()))
+    assert most < 1 << 13 and len(coder.young) < 20_000

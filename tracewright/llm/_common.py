@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -98,6 +99,31 @@ def sliced(batches, column: int, size: int = 4 << 20):
             start = stop
 
 
+#: Ids whose hash table a task may hold: about 24 bytes each.
+BROADCAST_IDS = 1_000_000
+BITS = 1 << 26
+
+
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is not in ``gone`` (one column ``__id``,
+    distinct, without nulls, cheap to read twice).
+
+    Up to ``BROADCAST_IDS`` ids are broadcast. Beyond that a bitmap of the ids'
+    hashes, 8 MB whatever their number, is: rows it does not know stay where
+    they are, and only the others are shuffled for an anti-join.
+    """
+    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        return docs.join(F.broadcast(gone), docs["doc_id"] == gone["__id"], "left_anti")
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS)) + 1
+    maps = gone.groupBy(F.bitmap_bucket_number(at(F.col("__id"))).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at(F.col("__id")))).alias("__map"))
+    bit = F.bitmap_bit_position(at(F.col("doc_id")))
+    octet = F.conv(F.hex(F.substring(F.col("__map"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.element_at(F.array(*[F.getbit(octet, F.lit(k)) for k in range(8)]), (bit % 8).cast("int") + 1) == 1, F.lit(False))
+    probed = docs.join(F.broadcast(maps), F.bitmap_bucket_number(at(docs["doc_id"])) == maps["__bucket"], "left").withColumn("__hit", hit)
+    clear, doubtful = probed.where(~F.col("__hit")).select(docs.columns), probed.where("__hit").select(docs.columns)
+    return clear.unionByName(doubtful.join(gone.hint("shuffle_hash"), doubtful["doc_id"] == gone["__id"], "left_anti"))
+
+
 class Memo(dict):
     """A dict that makes what is missing, in two generations: when the young
     one is full it becomes the old one, so what is in use stays."""

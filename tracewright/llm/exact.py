@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import partitions_for, renamed, staged, table
+from ._common import partitions_for, renamed, sliced, staged, table, without_ids
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 KEY_BITS, WINDOW_BYTES, BUCKET = 64, 32 << 20, 64
@@ -213,27 +213,28 @@ def _texts(docs: DataFrame, bits: int) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`dedup` keeps, with all their columns.
 
-    Dropped documents are found by id and text hash. Where rows that do not
-    differ in either tie for a group, one of them stays.
+    Dropped documents are found by their id, and no text is shuffled again, if
+    no dropped row shares its id with a kept one; else by id and text hash.
+    Where rows that do not differ in either tie for a group, one of them stays.
     """
     original, docs = docs.columns, renamed(docs, "doc_id", "text")
-    marks = dedup(docs)
-    dropped = marks.where("not kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")).groupBy("__id", "__sha").agg(F.count(F.lit(1)).alias("__n"))
-    keep = marks.where("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"))
-    dropped = staged(dropped, "dedup-dropped")
-    tied = staged(dropped.join(keep, (dropped["__id"].eqNullSafe(keep["__id"])) & (dropped["__sha"] == keep["__sha"]), "left_semi"), "dedup-tied")
-    names = docs.columns
+    marks = staged(dedup(docs).select("doc_id", "kept", "text_sha256"), "dedup-marks")
+    gone = staged(marks.where("not kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")).distinct(), "dedup-dropped")
+    ids = gone.select("__id").distinct()
+    kept = marks.where("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"))
+    if not gone.where("__id is null").limit(1).count() and not kept.join(ids, "__id", "left_semi").limit(1).count():
+        return without_ids(docs, ids).select(*docs.columns).toDF(*original)
+    tied = staged(gone.join(kept, (gone["__id"].eqNullSafe(kept["__id"])) & (gone["__sha"] == kept["__sha"]), "left_semi"), "dedup-tied")
+    names, at = docs.columns, docs.columns.index("text")
 
     def run(batches):
-        for b in batches:
-            k = b.schema.get_field_index("text")
-            shas = [hashlib.sha256(normalised(t)).digest() for t in b.column(k).to_pylist()]
+        for b in sliced(batches, at):
+            shas = [hashlib.sha256(normalised(t)).digest() for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shas, pa.binary())], [*b.schema.names, "__sha"])
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + ", __sha binary"
-    hashed = docs.mapInArrow(run, schema)
+    hashed = docs.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + ", __sha binary")
     same = lambda other: (hashed["doc_id"].eqNullSafe(other["__id"])) & (hashed["__sha"] == other["__sha"])
-    out = hashed.join(dropped.hint("shuffle_hash"), same(dropped), "left_anti").select(*names)
+    out = hashed.join(gone.hint("shuffle_hash"), same(gone), "left_anti").select(*names)
     if tied.limit(1).count():
         out = out.unionByName(hashed.join(tied, same(tied), "left_semi").dropDuplicates(["doc_id", "__sha"]).select(*names))
     return out.toDF(*original)

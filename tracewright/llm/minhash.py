@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Memo, renamed, staged, table
+from ._common import Memo, kept, renamed, sliced, staged, table, without_ids
 
 WORDS = re.compile(r"\w+")
 SHINGLE, REGISTERS, ROWS, SIMILARITY = 5, 120, 5, 0.8
@@ -75,11 +75,8 @@ class Shingler:
         return u, n.astype(float)
 
 
-_shinglers: dict[int, Shingler] = {}
-
-
 def shingler(size: int = SHINGLE) -> Shingler:
-    return _shinglers.setdefault(size, Shingler(size))
+    return kept(("shingler", size), lambda: Shingler(size))
 
 
 def signatures(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, n: int, m: int = REGISTERS) -> np.ndarray:
@@ -126,7 +123,7 @@ def sign(docs: DataFrame, m: int = REGISTERS, rows: int = ROWS) -> DataFrame:
 
     def run(batches):
         sh = shingler()
-        for b in batches:
+        for b in sliced(batches, 1):
             ids, texts = b.column(0), b.column(1)
             start = 0
             while start < len(ids):
@@ -309,19 +306,25 @@ def classes(docs: DataFrame, least: float = SIMILARITY, m: int = REGISTERS, rows
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that :func:`classes` keeps, with all their columns."""
+    """The rows of ``docs`` that :func:`classes` keeps, with all their columns.
+
+    Dropped documents are found by their id, and no text is shuffled, if no
+    dropped row shares its id with a kept one; else by id and node key.
+    """
     original, docs = docs.columns, renamed(docs, "doc_id", "text")
-    marks = staged(classes(docs), "near-marks")
+    marks = staged(classes(docs).select("doc_id", "node", "kept"), "near-marks")
     gone = staged(marks.where("not kept").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")).distinct(), "near-gone")
-    tied = staged(marks.where("kept and node is not null").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")).join(gone, ["__id", "__node"], "left_semi"), "near-tied")
-    repeated = gone.join(marks.where("kept").select(F.col("doc_id").alias("__id")), "__id", "left_semi").limit(1).count() > 0 or gone.where("__id is null").limit(1).count() > 0
-    if not repeated:  # ids tell dropped from kept
-        return docs.join(gone.select("__id").distinct().hint("shuffle_hash"), docs["doc_id"] == F.col("__id"), "left_anti").select(*docs.columns).toDF(*original)
+    ids = gone.select("__id").distinct()
+    left = marks.where("kept").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"))
+    if not gone.where("__id is null").limit(1).count() and not left.join(ids, "__id", "left_semi").limit(1).count():
+        return without_ids(docs, ids).select(*docs.columns).toDF(*original)
+    tied = staged(left.where("__node is not null").join(gone, ["__id", "__node"], "left_semi"), "near-tied")
+    at = docs.columns.index("text")
 
     def run(batches):
         sh = shingler()
-        for b in batches:
-            words = [sh.words(t) for t in b.column(b.schema.get_field_index("text")).to_pylist()]
+        for b in sliced(batches, at):
+            words = [sh.words(t) for t in b.column(at).to_pylist()]
             keys = [hashlib.blake2b(w.tobytes(), digest_size=16).digest() if len(w) else None for w in words]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())], [*b.schema.names, "__key"])
 

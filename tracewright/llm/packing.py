@@ -19,7 +19,6 @@ counts, so no task sees all pieces of a length.
 
 from __future__ import annotations
 
-import functools
 import zlib
 
 import numpy as np
@@ -29,23 +28,27 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from ._common import staged, table
+from ._common import kept, sliced, staged, table
 
 CAPACITY, END = 2048, 1
 
 
-def library_word_ids(path: str):
-    """Ids of one word by the tokenizers library's own model."""
-    from tokenizers import Tokenizer
-
-    model, symbols = Tokenizer.from_file(path).model, bpe.byte_symbols()
-    return lambda w: [t.id for t in model.tokenize("".join([symbols[b] for b in w.encode("utf-8", "surrogatepass")]))]
-
-
-@functools.cache
 def id_coder(path: str) -> bpe.WordCoder:
     """Packed ids of each word; one coder a process."""
-    return bpe.WordCoder(path, bpe.pack_ids, library_word_ids(path))
+    return kept(("bpe-ids", path), lambda: bpe.WordCoder(path, bpe.pack_ids))
+
+
+def cut(lists, tail: bytes, step: int):
+    """The bytes of a document in steps, while its stream goes on."""
+    held = bytearray()
+    for words in lists:
+        held += b"".join(words)
+        while len(held) >= step:
+            yield bytes(held[:step])
+            del held[:step]
+    held += tail
+    for start in range(0, len(held), step):
+        yield bytes(held[start : start + step])
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, path: str | None = None) -> DataFrame:
@@ -57,14 +60,13 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, path: str
         coder = id_coder(path)
         tail, step = bpe.pack_ids([end]), 4 * capacity
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
-        for b in batches:
+        for b in sliced(batches, 1):
             rows: list[list] = [[], [], [], [], [], []]
-            for i, t in enumerate(b.column(1).to_pylist()):
-                ids = b"".join(coder.of(t or "")) + tail
-                for s in range(0, len(ids), step):
-                    cut = ids[s : s + step]
-                    n = len(cut) // 4
-                    for col, v in zip(rows, (i, s // 4, n, zlib.crc32(cut), len(ids) // 4, seen[n])):
+            for i, lists in enumerate(coder.texts(b.column(1).to_pylist())):
+                made = [(len(x) // 4, zlib.crc32(x)) for x in cut(lists, tail, step)]
+                total = sum(n for n, _ in made)
+                for k, (n, crc) in enumerate(made):
+                    for col, v in zip(rows, (i, k * capacity, n, crc, total, seen[n])):
                         col.append(v)
                     seen[n] += 1
             cols = [pa.array(c, pa.int64()) for c in rows]
