@@ -37,7 +37,7 @@ from ._common import Memo, kept, renamed, sliced, staged, table, without_ids
 
 WORDS = re.compile(r"\w+")
 SHINGLE, REGISTERS, ROWS, SIMILARITY = 5, 120, 5, 0.8
-BATCH_SHINGLES, BLOCK = 200_000, 512
+BATCH_SHINGLES, BLOCK, CHUNK = 200_000, 512, 256
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -174,22 +174,33 @@ def node_texts(need: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts are similar enough."""
+    """The (a, b) of ``pairs`` whose texts are similar enough.
+
+    The b of one a are dealt into chunks of about ``CHUNK``; a's text goes to each
+    chunk once, before its members, and its shingles are kept while these pass.
+    """
     one = staged(node_texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), nodes, docs), "near-texts")
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+    dealt = staged(pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk")), "near-dealt")
+    members = dealt.join(one, dealt["b"] == one["node"]).select("a", "chunk", "b", "text")
+    heads = dealt.select("a", "chunk").distinct()
+    heads = heads.join(one, heads["a"] == one["node"]).select("a", "chunk", F.lit(None).cast("binary").alias("b"), "text")
 
     def compare(batches):
-        sh, last, held = shingler(), None, None
-        for b in batches:
-            keep = []
-            for a, ta, tb in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                if a != last:
-                    last, held = a, sh.shingles(sh.words(ta))
-                keep.append(probability_jaccard(held, sh.shingles(sh.words(tb))) >= least)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    ta = one.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    tb = one.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a binary, b binary")
+        sh, held = shingler(), None
+        for whole in batches:
+            for b in sliced([whole], 3):
+                keep = []
+                for member, text in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                    got = sh.shingles(sh.words(text))
+                    if member is None:
+                        held = got
+                    keep.append(member is not None and probability_jaccard(held, got) >= least)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    # nulls sort first, so a head stands before its members
+    rows = heads.union(members).repartition("a", "chunk").sortWithinPartitions("a", "chunk", "b")
+    return rows.mapInArrow(compare, "a binary, b binary")
 
 
 def block_links(table: pa.Table, least: float = SIMILARITY) -> pa.Table:
@@ -286,7 +297,10 @@ def classes(docs: DataFrame, least: float = SIMILARITY, m: int = REGISTERS, rows
     roots = components(links)
     wide = buckets.where("size > 2").join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
     torn = wide.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
-    rest = staged(wide.join(torn, "band"), "near-rest")
+    wide = staged(wide.join(torn, "band"), "near-wide")
+    # bands with the same members are compared once
+    alike = wide.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).groupBy("n", "h").agg(F.min("band").alias("band"))
+    rest = staged(wide.join(alike.select("band"), "band"), "near-rest")
     if rest.limit(1).count():
         again = staged(torn_links(rest, reps, docs, least), "near-links")
         if again.limit(1).count():
