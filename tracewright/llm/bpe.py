@@ -295,7 +295,7 @@ class WordCoder:
     the young one is full it becomes the old one, so words in use stay.
     """
 
-    def __init__(self, path: str, render, limit: int = 32 << 20):
+    def __init__(self, path: str, render, limit: int = 64 << 20):
         self.model, self.render, self.limit = BpeModel.load(path), render, limit
         self.young, self.old, self.bytes = {}, {}, 0
         self.added = {i: render([i]) for i in self.model.added.values()}
