@@ -278,7 +278,7 @@ def nonces(docs: DataFrame, key: str = KNOWN_KEY) -> DataFrame:
     another entity or its surrogate; usually few rows. Each spelling's own
     surrogate is compared, as it will be put into the text."""
     spark, text = docs.sparkSession, F.col("text").cast("string")
-    each = docs.select(F.explode(entities(found(text))).alias("f")).select("f.kind", "f.norm", "f.value").distinct()
+    each = docs.select(F.explode(let(found(text), entities)).alias("f")).select("f.kind", "f.norm", "f.value").distinct()
     known = staged(each.withColumns({"nonce": F.lit(0), "s": F.lit(None).cast("string")}), "pii-entities")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for _ in range(MAX_NONCE):
@@ -326,7 +326,7 @@ def replace(docs: DataFrame, key: str | None = None) -> DataFrame:
     if some.limit(1).count():
         h = F.when(F.size("__found") > 0, F.sha2("__text", 256)).otherwise(F.concat(F.lit("-"), F.xxhash64("__row").cast("string")))
         inner = inner.withColumn("__h", h)
-        hits = inner.where(F.size("__found") > 0).select("__h", F.explode(entities(F.col("__found"))).alias("f")).select("__h", "f.kind", "f.norm").distinct().join(some, ["kind", "norm"])
+        hits = inner.where(F.size("__found") > 0).select("__h", F.explode(let(F.col("__found"), entities)).alias("f")).select("__h", "f.kind", "f.norm").distinct().join(some, ["kind", "norm"])
         by = staged(hits.groupBy("__h").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "norm"), "nonce"))).alias("__n")), "pii-by-text")
         inner = inner.join(by, "__h", "left")
         nonce = lambda kind, norm: F.coalesce(F.element_at("__n", F.concat_ws("\x1f", kind, norm)), F.lit(0))
