@@ -61,9 +61,17 @@ def test_bpe_any_text(library):
     @settings(max_examples=400, deadline=None, database=None)
     @given(st.text(st.characters(codec="utf-8"), max_size=40))
     def same(text):
-        assert [i for w in coder.of(text) for i in w] == library.encode(text, add_special_tokens=False).ids
+        want = library.encode(text, add_special_tokens=False).ids
+        assert [i for w in coder.of(text) for i in w] == want
+        assert [i for lists in coder.texts([text]) for words in lists for w in words for i in w] == want
+
+    @settings(max_examples=400, deadline=None, database=None)
+    @given(st.text("abst'lévr e.,_!1²\n\x1c\u0301Σ<|", max_size=40))
+    def latin(text):
+        assert [i for lists in coder.texts([text]) for words in lists for w in words for i in w] == library.encode(text, add_special_tokens=False).ids
 
     same()
+    latin()
 
 
 def test_bpe_streams_in_pieces(model, library):

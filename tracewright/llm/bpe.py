@@ -344,7 +344,7 @@ class WordCoder:
         yield from self._group(group)
 
     def _group(self, group):
-        self.learn({w for parts in group for p in parts if not isinstance(p, int) for w in p})
+        self.learn(set().union(*(p for parts in group for p in parts if not isinstance(p, int))))
         for parts in group:
             yield iter((self.rendered(parts),))
 

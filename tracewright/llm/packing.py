@@ -35,7 +35,7 @@ CAPACITY, END = 2048, 1
 
 def id_coder(path: str) -> bpe.WordCoder:
     """Packed ids of each word; one coder a process."""
-    return kept(("bpe-ids", path), lambda: bpe.WordCoder(path, bpe.pack_ids))
+    return kept(("bpe-ids", path), lambda: bpe.WordCoder(path, bpe.pack_ids, 128 << 20))
 
 
 def cut(lists, tail: bytes, step: int):
