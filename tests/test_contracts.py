@@ -2,6 +2,7 @@
 
 import hashlib
 import hmac
+import json
 import math
 
 import pytest
@@ -94,3 +95,34 @@ def test_lines(spark):
     f = df.select(parsers.parse(F.col("line"), "syslog").alias("s"), parsers.parse(F.col("line"), "cisco_asa").alias("a"), parsers.parse(F.col("line"), "xml_generic").alias("x"), parsers.parse(F.col("line"), "none").alias("n")).collect()
     assert f[0].s.fields["dst_port"] == "8080" and f[0].s.fields["device_hostname"] == "router01"
     assert f[3].a.success and "src_ip" not in f[3].a.fields and not f[6].x.success and not f[0].n.success
+
+
+def test_gaps_are_found_and_filled(spark):
+    days = spark.createDataFrame([("2024-02-27",), ("2024-03-02",), ("2024-02-27",)], "day string").selectExpr("cast(day as date) day")
+    assert [str(r.day) for r in aggregation.missing_days(days).orderBy("day").collect()] == ["2024-02-28", "2024-02-29", "2024-03-01"]
+    e = spark.createDataFrame([("2024-01-01 23:59:58",), ("2024-01-03 00:00:01",), ("2024-01-03 00:00:01",)], "timestamp_utc string").selectExpr("cast(timestamp_utc as timestamp) timestamp_utc")
+    got = correlation.eps(e).orderBy("second").collect()
+    assert len(got) == 86404 and sum(r.events for r in got) == 3 and (got[0].events, got[1].events, got[-1].events) == (1, 0, 2)
+
+
+def test_analysis_views_are_checked(spark):
+    good = spark.createDataFrame([(80, 0.5, "attack", "train")], "source_port_normalized int, label_confidence double, weak_label string, data_split string")
+    assert aggregation.checked_view(good).count() == 1
+    with pytest.raises(ValueError, match="forbidden_column:metadata"):
+        aggregation.checked_view(good.selectExpr("*", "'x' metadata"))
+    for broken in ("70000 source_port_normalized", "2.0D label_confidence", "'odd' weak_label", "'late' data_split", "cast(null as string) weak_label"):
+        name = broken.split()[-1]
+        with pytest.raises(ValueError):
+            aggregation.checked_view(good.drop(name).selectExpr("*", broken))
+    v = spark.createDataFrame([(2, "b"), (1, "z"), (2, "a")], "g int, x string")
+    assert [tuple(r) for r in aggregation.ordered(v, "g").collect()] == [(1, "z"), (2, "a"), (2, "b")]
+
+
+def test_many_events_of_one_microsecond_give_no_more_alerts(spark):
+    """5,000 events of an entity at one time, more than the ordering key has places for."""
+    e = spark.range(5000).selectExpr("id ordinal", "concat('u', id) event_uid", "'10.0.0.1' src_ip", "cast(null as string) device_ip", "concat('192.0.2.', id % 9) dst_ip", "cast(20 + id % 50 as int) dst_port", "timestamp_seconds(1704067200) timestamp_utc", "timestamp_seconds(1704067200) ingest_timestamp",
+        "'deny' event_action", "cast(null as int) http_status", "'network' event_category", "cast(null as string) weak_label", "'' raw_log")
+    got = correlation.alerts(e, ["PORT_SCAN_SWEEP", "BRUTE_FORCE_CAMPAIGN"]).collect()
+    assert {r.rule_name: (r.measure, r.event_count) for r in got} == {"PORT_SCAN_SWEEP": (5, 5), "BRUTE_FORCE_CAMPAIGN": (5, 5)} and len(got) == 2
+    scan = json.loads(next(r.context for r in got if r.rule_name == "PORT_SCAN_SWEEP"))
+    assert scan["scanned_ports"] == [20, 21, 22, 23, 24] and scan["port_count"] == 5 and len(scan["target_ips"]) == 5

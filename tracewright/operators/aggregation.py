@@ -6,10 +6,17 @@ distinct counts are exact.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FORBIDDEN = ("raw_log", "user_agent", "metadata", "client_ip")
+#: Raw columns that no analysis view may show.
+FORBIDDEN = ("client_ip", "client_ip_canonical", "user_agent", "metadata")
+LABELS, SPLITS = ("attack", "benign", "uncertain"), ("train", "validation", "test")
+#: Quantiles of active hours that a burst threshold is chosen from.
+LADDER = (0.0, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.995, 1.0)
 
 
 def flag(c: Column) -> Column:
@@ -33,6 +40,34 @@ def combined(*sidecars: DataFrame) -> DataFrame:
     return out
 
 
+def view_violations(view: DataFrame) -> DataFrame:
+    """violation, n: one row for each rule of analysis views that ``view`` could
+    break, and one for each forbidden column it has. One pass of aggregates."""
+    c, count = F.col, lambda x: F.count_if(F.coalesce(x, F.lit(False)))
+    rules = {
+        "missing": count(reduce(or_, [F.col(f"`{x}`").isNull() for x in view.columns])),
+        "port_out_of_range": count(~c("source_port_normalized").between(0, 65535)),
+        "confidence_out_of_range": count(~c("label_confidence").between(0, 1)),
+        "unexpected_label": count(~F.trim("weak_label").isin(*LABELS)),
+        "unexpected_split": count(~F.trim("data_split").isin(*SPLITS)),
+    } | {f"forbidden_column:{x}": F.count(F.lit(1)) for x in FORBIDDEN if x in view.columns}
+    one = view.agg(F.array(*[F.struct(F.lit(k).alias("violation"), v.alias("n")) for k, v in rules.items()]).alias("x"))
+    return one.select(F.explode("x").alias("x")).select("x.*")
+
+
+def checked_view(view: DataFrame) -> DataFrame:
+    """``view`` itself; fails if it shows forbidden columns or breaks a rule."""
+    bad = {r.violation: r.n for r in view_violations(view).collect() if r.n or r.violation.startswith("forbidden")}
+    if bad:
+        raise ValueError(f"not an analysis view: {bad}")
+    return view
+
+
+def ordered(view: DataFrame, *grain: str) -> DataFrame:
+    """A view in the order of its grain, for a sink; rows of one grain by all columns."""
+    return view.orderBy(*grain, *[c for c in view.columns if c not in grain])
+
+
 def _metrics(client: str) -> list[Column]:
     n, label = F.count(F.lit(1)), F.col("weak_label")
     share = lambda c: F.count_if(c) * 100.0 / n

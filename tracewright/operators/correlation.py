@@ -1,11 +1,12 @@
 """Correlation rules over sliding windows of each entity, in batch.
 
 An entity is src_ip, else device_ip. Windows look back from an event, its own time
-and the bound included. Range frames need a unique order: the key is microseconds
-times 4096 plus the rank among the entity's events of that time, so a frame never
-holds later events of the same time. Cooldown is a fold over an entity's triggers
-of a rule: a trigger counts if at least the cooldown has passed since the last that
-counted. One shuffle by entity.
+and the bound included. Range frames need an order: the key is microseconds times
+4096 plus the rank among the entity's events of that time, so a frame holds no
+later events of the same time. From the 4096th event of a microsecond on, events
+share the last rank and see each other. Cooldown is a fold over an entity's
+triggers of a rule: a trigger counts if at least the cooldown has passed since the
+last that counted. One shuffle by entity.
 """
 
 from __future__ import annotations
@@ -83,6 +84,7 @@ def prepared(events: DataFrame) -> DataFrame:
     df = events.withColumn("entity", F.coalesce("src_ip", "device_ip")).where("entity is not null")
     df = df.withColumn("__us", F.unix_micros(F.coalesce("timestamp_utc", "ingest_timestamp")) - F.lit(1577836800000000))
     tie = F.row_number().over(Window.partitionBy("entity", "__us").orderBy("ordinal")) - 1
+    tie = F.least(tie, F.lit(4095))
     return df.withColumn("__k", F.col("__us") * 4096 + tie)
 
 
@@ -98,43 +100,51 @@ def triggers(df: DataFrame, rule: Rule) -> DataFrame:
     tech, tech_name = F.lit(rule.technique), F.lit(rule.technique_name)
     uid = F.col("event_uid")
     all_uids = F.collect_list(uid).over(w)
-    targets = F.array_sort(F.collect_set("dst_ip").over(w))
+    given = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
+    distinct = lambda c: F.array_sort(F.collect_set(c).over(w))
+    aim = F.col("dst_ip")
     if rule.name == "PORT_SCAN_SWEEP":
         port = F.when(F.col("dst_port") > 0, F.col("dst_port"))
         measure = F.size(F.collect_set(port).over(w))
         holds, uids = measure >= rule.least, F.collect_list(F.when(port.isNotNull(), uid)).over(w)
+        more = {"scanned_ports": distinct(port), "port_count": measure}
     elif rule.name == "BRUTE_FORCE_CAMPAIGN":
         measure = F.sum(failed().cast("int")).over(w)
         holds, uids = measure >= rule.least, F.collect_list(F.when(failed(), uid)).over(w)
+        aim, more = F.when(failed(), aim), {"failed_count": measure, "usernames": distinct(F.when(failed(), given("username")))}
     elif rule.name == "CROSS_DEVICE_CAMPAIGN":
         measure = F.size(F.collect_set(device_family()).over(w))
         holds, uids = (measure >= rule.least) & F.max(suspicious()).over(w), all_uids
+        more = {"device_types": distinct(device_family()), "event_count": F.count(F.lit(1)).over(w)}
     elif rule.name == "MALICIOUS_C2_BEACON":
         bad = F.coalesce("is_malicious", F.lit(False)) | F.coalesce(F.col("threat_intel_score") >= 0.70, F.lit(False))
         measure = F.sum(bad.cast("int")).over(w)
         holds, uids = measure >= rule.least, F.collect_list(F.when(bad, uid)).over(w)
+        score = F.max(F.when(bad, F.coalesce("threat_intel_score", F.lit(0.0)))).over(w)
+        aim, more = F.when(bad, aim), {"threat_intel_score": score, "threat_intel_sources": distinct(F.when(bad, given("threat_intel_source"))), "connection_count": measure}
     else:
         measure = F.count(F.lit(1)).over(w)
         holds, uids = F.max(severe()).over(w) & (measure >= rule.least), all_uids
         first = F.first(F.when(severe(), F.struct("threat_name", "mitre_technique_id")), ignorenulls=True).over(w)
         tech, tech_name = F.coalesce(first["mitre_technique_id"], tech), F.coalesce(first["threat_name"], tech_name)
-    cols = {"__holds": holds, "__measure": measure.cast("long"), "__uids": uids, "__targets": targets, "__tech": tech, "__tech_name": tech_name}
+        more = {"threat_name": tech_name, "mitre_technique": tech, "correlated_count": measure}
+    cols = {"__holds": holds, "__measure": measure.cast("long"), "__uids": uids, "__targets": distinct(aim), "__more": F.struct(*[v.alias(k) for k, v in more.items()]), "__tech": tech, "__tech_name": tech_name}
     return df.withColumns(cols).where("__holds")
 
 
 def thinned(found: DataFrame, rule: Rule) -> DataFrame:
     """Triggers that no earlier counted one within the cooldown suppresses.
 
-    The fold gets only times and keys of an entity's triggers (16 bytes each)."""
+    The fold gets only times and places of an entity's triggers (24 bytes each)."""
     us = int(rule.cooldown * 1e6)
     keep = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("__us", "__k"))),
-        F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<bigint>").alias("ks")),
-        lambda acc, x: F.when(acc["last"].isNull() | (x["__us"] - acc["last"] >= us), F.struct(x["__us"].alias("last"), F.concat(acc["ks"], F.array(x["__k"])).alias("ks"))).otherwise(acc),
+        F.array_sort(F.collect_list(F.struct("__us", "__k", "ordinal"))),
+        F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<struct<k:bigint,o:bigint>>").alias("ks")),
+        lambda acc, x: F.when(acc["last"].isNull() | (x["__us"] - acc["last"] >= us), F.struct(x["__us"].alias("last"), F.concat(acc["ks"], F.array(F.struct(x["__k"].alias("k"), x["ordinal"].cast("bigint").alias("o")))).alias("ks"))).otherwise(acc),
         lambda acc: acc["ks"],
     )
-    keys = found.groupBy("entity").agg(keep.alias("ks")).select("entity", F.explode("ks").alias("__k"))
-    return found.join(keys, ["entity", "__k"])
+    keys = found.groupBy("entity").agg(keep.alias("ks")).select("entity", F.explode("ks").alias("__at")).select("entity", F.col("__at.k").alias("__k"), F.col("__at.o").alias("__o"))
+    return found.withColumn("__o", F.col("ordinal").cast("bigint")).join(keys, ["entity", "__k", "__o"]).drop("__o")
 
 
 def alerts(events: DataFrame, names=None, rules: dict[str, Rule] | None = None) -> DataFrame:
@@ -150,7 +160,7 @@ def alerts(events: DataFrame, names=None, rules: dict[str, Rule] | None = None)
             F.lit(name).alias("rule_name"), F.lit(rule.incident).alias("incident_type"), F.lit(rule.severity).alias("severity"), F.col("entity").alias("primary_ip"),
             F.get("__targets", F.lit(0)).alias("target_ip"), F.coalesce("timestamp_utc", "ingest_timestamp").alias("timestamp_utc"),
             F.size("__uids").cast("long").alias("event_count"), F.col("__uids").alias("correlated_event_uids"), F.col("__measure").alias("measure"), F.lit(rule.tactic).alias("mitre_tactic"), F.col("__tech").alias("mitre_technique_id"), F.col("__tech_name").alias("mitre_technique_name"),
-            F.to_json(F.struct(F.lit(rule.window).alias("window_seconds"), F.col("__measure").alias("measure"), F.col("__targets").alias("target_ips"))).alias("context"))
+            F.to_json(F.struct(F.lit(rule.window).alias("window_seconds"), F.col("__targets").alias("target_ips"), F.col("__more.*"))).alias("context"))
         out = a if out is None else out.unionByName(a)
     return out
 
@@ -158,5 +168,8 @@ def alerts(events: DataFrame, names=None, rules: dict[str, Rule] | None = None)
 def eps(events: DataFrame, ts: str = "timestamp_utc") -> DataFrame:
     """Events per second, seconds without any filled with 0."""
     per = events.groupBy(F.date_trunc("second", ts).alias("second")).agg(F.count(F.lit(1)).alias("n"))
-    span = per.agg(F.explode(F.sequence(F.min("second"), F.max("second"), F.expr("INTERVAL 1 SECOND"))).alias("second"))
+    # one row a day first, so that the seconds are made in as many tasks
+    days = per.agg(F.min("second").alias("lo"), F.max("second").alias("hi")).select("lo", "hi", F.explode(F.sequence(F.date_trunc("day", "lo"), F.col("hi"), F.expr("INTERVAL 1 DAY"))).alias("day")).repartition("day")
+    last = F.least(F.col("day") + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 1 SECOND"), F.col("hi"))
+    span = days.select(F.explode(F.sequence(F.greatest("day", "lo"), last, F.expr("INTERVAL 1 SECOND"))).alias("second"))
     return span.join(per, "second", "left").select("second", F.coalesce("n", F.lit(0)).alias("events"))

@@ -27,6 +27,15 @@ def null_empty_whitespace(df: DataFrame, names: list[str]) -> DataFrame:
     return _unpivot(df, out)
 
 
+def value_ranges(df: DataFrame, ts: str = "timestamp", port: str = "source_port") -> DataFrame:
+    """One row: earliest, latest, invalid_timestamps (missing ones too) and
+    invalid_ports (given, but no whole number from 1 to 65535)."""
+    t = F.col(ts).try_cast("timestamp_ntz")
+    text = F.trim(F.col(port).cast("string"))
+    valid = text.rlike(r"^[+-]?\d+$") & text.try_cast("decimal(38,0)").between(1, 65535)
+    return df.agg(F.min(t).alias("earliest"), F.max(t).alias("latest"), F.count_if(t.isNull()).alias("invalid_timestamps"), F.count_if((text != "") & ~F.coalesce(valid, F.lit(False))).alias("invalid_ports"))
+
+
 def frequency(df: DataFrame, name: str) -> DataFrame:
     """value, n: the pre-aggregated counts that the reports below start from."""
     return df.groupBy(F.col(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))

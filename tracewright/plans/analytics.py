@@ -253,9 +253,9 @@ def regime_distribution(spark, d):
     return agg.regime_distribution(_regimes(spark, d))
 
 
-@query(f"WITH {SQL}, days AS (SELECT DISTINCT timestamp_normalized::DATE AS day FROM s WHERE k % 50 = 0) SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM days EXCEPT SELECT day FROM days")
+@query(f"WITH {SQL}, days AS (SELECT DISTINCT timestamp_normalized::DATE AS day FROM s) SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM days EXCEPT SELECT day FROM days")
 def missing_days(spark, d):
-    return agg.missing_days(structured(spark, d).where("k % 50 = 0").select(F.col("timestamp_normalized").alias("day")))
+    return agg.missing_days(structured(spark, d).select(F.col("timestamp_normalized").alias("day")))
 
 
 @query(f"""{WITH_V}, {DAILY} SELECT data_split, count(*) AS days, sum(event_count)::BIGINT AS events, round(avg(event_count), 6) AS mean, round(quantile_cont(event_count, 0.5), 6)::DOUBLE AS median, round(quantile_cont(event_count, 0.95), 6)::DOUBLE AS p95, max(event_count) AS largest,
@@ -305,9 +305,36 @@ def repeated_content(spark, d):
     return profiling.repeated_content(spark.read.parquet(f"{d}/documents.parquet").select(F.sha2("text", 256).alias("h")), "h")
 
 
-@query(f"WITH {SQL}, i AS (SELECT DISTINCT client_ip FROM s) SELECT 'private' AS ip_class, count(*) AS n FROM i")
+ANY_IP = "CASE k % 6 WHEN 0 THEN concat('127.0.0.', k) WHEN 1 THEN concat('8.8.4.', k) WHEN 2 THEN concat('224.0.0.', k) WHEN 3 THEN concat('999.1.1.', k) WHEN 4 THEN concat('172.31.9.', k) ELSE client_ip END"
+
+
+@query(f"WITH {SQL} SELECT CASE kind WHEN 0 THEN 'loopback' WHEN 1 THEN 'public' WHEN 2 THEN 'other' WHEN 3 THEN 'invalid' ELSE 'private' END AS ip_class, count(DISTINCT ip) AS n FROM (SELECT {ANY_IP} AS ip, k % 6 AS kind FROM s) GROUP BY 1")
 def ip_classes(spark, d):
-    return structured(spark, d).select("client_ip").distinct().groupBy(network.ip_class(F.col("client_ip")).alias("ip_class")).agg(F.count(F.lit(1)).alias("n"))
+    ips = structured(spark, d).select(F.expr(ANY_IP).alias("ip")).distinct()
+    return ips.groupBy(network.ip_class(F.col("ip")).alias("ip_class")).agg(F.count(F.lit(1)).alias("n"))
+
+
+TS_TEXT = "CASE WHEN k % 11 = 0 THEN 'yesterday' WHEN k % 13 = 0 THEN ' ' ELSE {iso} END"
+PORT_TEXT = "CASE WHEN k % 17 = 0 THEN '0' WHEN k % 19 = 0 THEN '80x' WHEN k % 23 = 0 THEN '' WHEN k % 29 = 0 THEN '65536' ELSE cast(source_port_normalized AS {text}) END"
+
+
+@query(f"WITH {SQL} SELECT min(timestamp_normalized) FILTER (k % 11 <> 0 AND k % 13 <> 0) AS earliest, max(timestamp_normalized) FILTER (k % 11 <> 0 AND k % 13 <> 0) AS latest, count(*) FILTER (k % 11 = 0 OR k % 13 = 0) AS invalid_timestamps, count(*) FILTER (k % 17 = 0 OR k % 19 = 0 OR (k % 23 <> 0 AND k % 29 = 0)) AS invalid_ports FROM s")
+def value_ranges(spark, d):
+    s = structured(spark, d).select(F.expr(TS_TEXT.format(iso="date_format(timestamp_normalized, 'yyyy-MM-dd HH:mm:ss')")).alias("timestamp"), F.expr(PORT_TEXT.format(text="STRING")).alias("source_port"))
+    return profiling.value_ranges(s)
+
+
+BAD_VIEW = {
+    "weak_label": "CASE WHEN k % 7 = 0 THEN 'other' WHEN k % 5 = 0 THEN NULL ELSE 'attack' END", "data_split": "CASE WHEN k % 11 = 0 THEN 'later' ELSE 'train' END",
+    "label_confidence": "CASE WHEN k % 13 = 0 THEN 1.5 ELSE 0.5 END", "source_port_normalized": "CASE WHEN k % 3 = 0 THEN 70000 ELSE source_port_normalized END",
+}
+
+
+@query(f"""WITH {SQL}, v AS (SELECT k, {', '.join(f'{e} AS {n}' for n, e in BAD_VIEW.items())} FROM s) SELECT 'forbidden_column:metadata' AS violation, count(*) AS n FROM v UNION ALL SELECT 'missing', count(*) FILTER (weak_label IS NULL) FROM v UNION ALL SELECT 'port_out_of_range', count(*) FILTER (k % 3 = 0) FROM v
+ UNION ALL SELECT 'confidence_out_of_range', count(*) FILTER (k % 13 = 0) FROM v UNION ALL SELECT 'unexpected_label', count(*) FILTER (weak_label = 'other') FROM v UNION ALL SELECT 'unexpected_split', count(*) FILTER (k % 11 = 0) FROM v""")
+def analysis_view_violations(spark, d):
+    v = structured(spark, d).select("event_id", "record_hash", "timestamp_normalized", "metadata", *[F.expr(e).alias(n) for n, e in BAD_VIEW.items()])
+    return agg.view_violations(v)
 
 
 _I, _O = bytes(b ^ 0x36 for b in KEY.ljust(64, b"\0")), bytes(b ^ 0x5C for b in KEY.ljust(64, b"\0"))
@@ -325,6 +352,11 @@ def record_hash(spark, d):
 
 # correlation -------------------------------------------------------------
 NB = "lower(coalesce(raw_log, ''))"
+FAILED_SQL = f"(event_action IN ('deny','drop','block','alert') OR coalesce(http_status IN (401, 403), false) OR (event_category = 'authentication' AND weak_label = 'attack') OR contains({NB}, 'failed') OR contains({NB}, 'failure') OR contains({NB}, 'invalid user'))"
+BAD_SQL = "(is_malicious OR threat_intel_score >= 0.70)"
+SEVERE_SQL = "(severity >= 6 OR lower(severity_label) IN ('high','critical','emergency'))"
+#: rule → which events of a window it counts as its own, which as aimed at a target.
+HITS = {"PORT_SCAN_SWEEP": ("dst_port > 0", "true"), "BRUTE_FORCE_CAMPAIGN": (FAILED_SQL, FAILED_SQL), "CROSS_DEVICE_CAMPAIGN": ("true", "true"), "MALICIOUS_C2_BEACON": (BAD_SQL, BAD_SQL), "HIGH_SEVERITY_MULTI_VECTOR": ("true", "true")}
 RULE_SQL = {
     "PORT_SCAN_SWEEP": ("port_scan_alerts", "len(list_distinct(list(CASE WHEN dst_port > 0 THEN dst_port END) OVER w))", "measure >= 5", "true"),
     "BRUTE_FORCE_CAMPAIGN": ("brute_force_alerts", f"sum(CASE WHEN event_action IN ('deny','drop','block','alert') OR http_status IN (401, 403) OR (event_category = 'authentication' AND weak_label = 'attack') OR contains({NB}, 'failed') OR contains({NB}, 'failure') OR contains({NB}, 'invalid user') THEN 1 ELSE 0 END) OVER w", "measure >= 5", "true"),
@@ -335,17 +367,22 @@ RULE_SQL = {
 
 
 def _rule(name):
-    rule, (query_name, measure, holds, extra) = correlation.RULES[name], RULE_SQL[name]
+    rule, (query_name, measure, holds, extra), (hit, aim) = correlation.RULES[name], RULE_SQL[name], HITS[name]
+    technique, threat = f"'{rule.technique}'", f"'{rule.technique_name}'"
+    if name == "HIGH_SEVERITY_MULTI_VECTOR":  # of the first severe event
+        technique, threat = (f"(list(coalesce({c}, {default})) FILTER ({SEVERE_SQL}) OVER w)[1]" for c, default in (("mitre_technique_id", technique), ("threat_name", threat)))
     sql = f"""WITH RECURSIVE {SQL}, {CANONICAL_SQL}, u AS (SELECT *, CAST(epoch(timestamp_utc) AS BIGINT) AS t, (CAST(epoch(timestamp_utc) AS BIGINT) - 1577836800) * 4096000000 + row_number() OVER (PARTITION BY src_ip, timestamp_utc ORDER BY ordinal) - 1 AS kk FROM c),
-    x AS (SELECT src_ip, t, ordinal, {measure} AS measure, {extra} AS extra FROM u WINDOW w AS (PARTITION BY src_ip ORDER BY kk RANGE BETWEEN {int(rule.window) * 4096000000 + 4095} PRECEDING AND CURRENT ROW)),
+    x AS (SELECT src_ip, t, ordinal, {measure} AS measure, {extra} AS extra, count(*) FILTER ({hit}) OVER w AS event_count, min(dst_ip) FILTER ({aim}) OVER w AS target_ip, len(list_distinct(list(dst_ip) FILTER ({aim}) OVER w)) AS n_targets, {technique} AS technique, {threat} AS threat
+      FROM u WINDOW w AS (PARTITION BY src_ip ORDER BY kk RANGE BETWEEN {int(rule.window) * 4096000000 + 4095} PRECEDING AND CURRENT ROW)),
     tr AS (SELECT * FROM x WHERE {holds}),
     al AS (SELECT src_ip, t, ordinal, measure FROM (SELECT *, row_number() OVER (PARTITION BY src_ip ORDER BY t, ordinal) AS r FROM tr) WHERE r = 1
       UNION ALL SELECT src_ip, t, ordinal, measure FROM (SELECT tr.*, row_number() OVER (PARTITION BY tr.src_ip ORDER BY tr.t, tr.ordinal) AS r FROM al JOIN tr ON tr.src_ip = al.src_ip AND tr.t >= al.t + {int(rule.cooldown)}) WHERE r = 1)
-    SELECT '{name}' AS rule_name, src_ip AS primary_ip, t AS at_second, measure::BIGINT AS measure FROM al"""
+    SELECT '{name}' AS rule_name, x.src_ip AS primary_ip, x.t AS at_second, x.measure::BIGINT AS measure, x.event_count, x.target_ip, x.n_targets::BIGINT AS n_targets, x.technique AS mitre_technique_id, x.threat AS mitre_technique_name FROM al JOIN x ON x.ordinal = al.ordinal"""
 
     def run(spark, d):
         a = correlation.alerts(canonical(spark, d), [name])
-        return a.select("rule_name", "primary_ip", F.unix_timestamp("timestamp_utc").alias("at_second"), "measure")
+        targets = F.from_json("context", "target_ips array<string>")["target_ips"]
+        return a.select("rule_name", "primary_ip", F.unix_timestamp("timestamp_utc").alias("at_second"), "measure", "event_count", "target_ip", F.size(targets).cast("long").alias("n_targets"), "mitre_technique_id", "mitre_technique_name")
 
     run.__name__ = query_name
     query(sql)(run)
@@ -355,9 +392,9 @@ for _name in RULE_SQL:
     _rule(_name)
 
 
-@query(f"WITH {SQL}, {CANONICAL_SQL}, p AS (SELECT CAST(epoch(timestamp_utc) AS BIGINT) AS t, count(*) AS n FROM c WHERE is_malicious GROUP BY 1) SELECT g.t AS at_second, coalesce(n, 0) AS events FROM (SELECT unnest(generate_series(min(t), max(t))) AS t FROM p) g LEFT JOIN p ON p.t = g.t")
+@query(f"WITH {SQL}, {CANONICAL_SQL}, p AS (SELECT CAST(epoch(timestamp_utc) AS BIGINT) AS t, count(*) AS n FROM c GROUP BY 1) SELECT g.t AS at_second, coalesce(n, 0) AS events FROM (SELECT unnest(generate_series(min(t), max(t))) AS t FROM p) g LEFT JOIN p ON p.t = g.t")
 def eps_series(spark, d):
-    return correlation.eps(canonical(spark, d).where("is_malicious")).select(F.unix_timestamp("second").alias("at_second"), "events")
+    return correlation.eps(canonical(spark, d)).select(F.unix_timestamp("second").alias("at_second"), "events")
 
 
 COUNTERS = ["format_name", "severity", "event_action", "weak_label"]

@@ -183,13 +183,13 @@ def technique_mapping(spark, d):
 
 
 @query(f"""{WITH_C} SELECT ordinal, CASE WHEN bad THEN 0.95 END::DOUBLE AS threat_intel_score, CASE WHEN bad AND k % 2 = 0 THEN 'attack' WHEN k % 2 = 0 THEN 'uncertain' ELSE 'benign' END AS weak_label, CASE WHEN bad THEN greatest(k / 100.0, 0.85) ELSE k / 100.0 END::DOUBLE AS label_confidence,
- CASE WHEN bad THEN 'US' ELSE 'INTERNAL' END AS src_country, NOT bad AS is_src_private, 'US' AS dst_country FROM (SELECT *, {K} AS k, {K} % 3 = 0 AS bad FROM c)""")
+ CASE WHEN bad THEN 'DE' ELSE 'INTERNAL' END AS src_country, NOT bad AS is_src_private, 'US' AS dst_country FROM (SELECT *, {K} AS k, {K} % 3 = 0 AS bad FROM c)""")
 def enrich_events(spark, d):
     null = lambda t: F.lit(None).cast(t)
     c = canonical(spark, d).withColumn("k", F.expr(K)).withColumns({"src_ip": F.expr("if(k % 3 = 0, '185.220.101.5', src_ip)")})
     c = c.withColumns({n: null(t) for n, t in mapping.CANONICAL.items() if n not in c.columns}).withColumns({"threat_intel_score": null("double"), "is_malicious": null("boolean"), "weak_label": F.expr("if(k % 2 = 0, 'uncertain', 'benign')"), "label_confidence": F.expr("k / 100.0D")})
     e = enrichment.enrich(c)
-    return e.select("ordinal", "threat_intel_score", "weak_label", "label_confidence", F.expr("if(src_country = 'DE', 'US', src_country)").alias("src_country"), "is_src_private", "dst_country")
+    return e.select("ordinal", "threat_intel_score", "weak_label", "label_confidence", "src_country", "is_src_private", "dst_country")
 
 
 @query(f"""{WITH_C} SELECT ordinal, lower(severity_label) = 'critical' OR severity BETWEEN 1 AND 4 OR event_action IN ('deny', 'alert') OR weak_label = 'attack' OR is_malicious OR mitre_technique_id IS NOT NULL OR threat_intel_score >= 0.5 OR threat_name IS NOT NULL AS is_threat FROM c""")
@@ -252,11 +252,11 @@ def invalid_labels(spark, d):
     return batch.invalid_labels(z).select("event_id")
 
 
-@query(f"{WITH_V}, {HOURLY} SELECT count(*) AS active_hours, (epoch(max(hour_start)) - epoch(min(hour_start)))::BIGINT // 3600 + 1 AS possible_hours, " + ", ".join(f"round(quantile_cont(event_count, {q}), 6)::DOUBLE AS q{str(q)[2:]}" for q in (0.5, 0.75, 0.9, 0.95, 0.99)) + " FROM h WHERE data_split = 'train'")
+@query(f"{WITH_V}, {HOURLY} SELECT count(*) AS active_hours, (epoch(max(hour_start)) - epoch(min(hour_start)))::BIGINT // 3600 + 1 AS possible_hours, " + ", ".join(f"round(quantile_cont(event_count, {q}), 6)::DOUBLE AS q{round(q * 1000)}" for q in aggregation.LADDER) + " FROM h WHERE data_split = 'train'")
 def training_quantiles(spark, d):
     h = aggregation.time_view(viewed(spark, d)).where("data_split = 'train'")
     span = (F.unix_timestamp(F.max("hour_start").cast("timestamp")) - F.unix_timestamp(F.min("hour_start").cast("timestamp"))) / 3600 + 1
-    return h.agg(F.count(F.lit(1)).alias("active_hours"), span.cast("long").alias("possible_hours"), *[F.percentile("event_count", F.lit(q)).alias(f"q{str(q)[2:]}") for q in (0.5, 0.75, 0.9, 0.95, 0.99)])
+    return h.agg(F.count(F.lit(1)).alias("active_hours"), span.cast("long").alias("possible_hours"), *[F.percentile("event_count", F.lit(q)).alias(f"q{round(q * 1000)}") for q in aggregation.LADDER])
 
 
 @query(f"WITH {SQL} SELECT ip_version, count(*) AS n FROM (SELECT CASE k % 3 WHEN 0 THEN 4 WHEN 1 THEN 6 END::BIGINT AS ip_version FROM s) GROUP BY 1")
