@@ -1,10 +1,14 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance by path.
 
 Sentences of a file that speak of licences or copyright (anywhere in the whole
-text) are its headers; they are compared with short templates by the cosine of
-sparse TF-IDF vectors over words, whose document frequencies come from the
-template set. The best match at or above ``least`` is the file's own licence. A
-file named like a licence file speaks for its directory. Files without a licence
+text) are its headers; they are compared with templates, a licence's notice and
+short forms of its name, by the cosine of sparse TF-IDF vectors over words, whose
+document frequencies come from the template set. Words that no template has weigh
+most and count in a header's norm. The best match at or above ``least``, which lies
+between the notices and the counter-examples of the tests, is the file's own
+licence; an SPDX identifier decides alone, and one that is unknown here is no
+licence. The texts are read once: what was found in them is written to the shared
+folder. A file named like a licence file speaks for its directory. Files without a licence
 of their own inherit from the nearest ancestor directory that has one: distinct
 directories are resolved first (their ancestors joined with the speaking
 directories by path), and files are joined to the resolved directories.
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import sliced, staged, table
 
 TEMPLATES = {
     "MIT": "released under the mit license permission is hereby granted free of charge to any person obtaining a copy of this software",
@@ -40,41 +44,50 @@ TEMPLATES = {
     "Unlicense": "the unlicense this is free and unencumbered software released into the public domain",
     "Proprietary": "copyright all rights reserved confidential proprietary unauthorized copying is prohibited",
 }
+#: What licences are called in short headers ("Released under the MIT License.").
+NAMES = {
+    "MIT": "mit license", "Apache-2.0": "apache license version 2.0", "GPL-3.0": "gnu general public license version 3", "GPL-2.0": "gnu general public license version 2",
+    "LGPL-3.0": "gnu lesser general public license version 3", "AGPL-3.0": "gnu affero general public license version 3", "BSD-3-Clause": "bsd 3 clause license", "BSD-2-Clause": "bsd 2 clause license",
+    "MPL-2.0": "mozilla public license version 2.0", "ISC": "isc license", "CC-BY-4.0": "cc by 4.0", "CC-BY-SA-4.0": "cc by sa 4.0", "CC-BY-NC-4.0": "cc by nc 4.0", "CC0-1.0": "cc0 1.0", "Unlicense": "unlicense",
+}
+FORMS = ("{}", "licensed under the {}", "this work is released under the {}")
 HEADER = re.compile(r"\b(?:licen[sc]e[ds]?|unlicense|copyright|spdx-license-identifier|all rights reserved|permission is hereby granted|redistribution and use|public domain)\b", re.I)
 SENTENCE = re.compile(r"(?<=[.!?;])\s+(?=\S)")
 TOKEN = re.compile(r"[a-z]+|\d+(?:\.\d+)*")
 SPDX = re.compile(r"spdx-license-identifier:\s*([\w.+-]+)", re.I)
 FILES = re.compile(r"(?:^|/)(?:licen[sc]e|copying|unlicense|notice)(?:[.-][^/]*)?$", re.I)
-LEAST = 0.3
+LEAST = 0.5
 
 
 class Matcher:
-    def __init__(self, templates: dict[str, str] = TEMPLATES):
-        docs = {k: Counter(TOKEN.findall(v.lower())) for k, v in templates.items()}
-        df = Counter(t for c in docs.values() for t in c)
+    def __init__(self, templates: dict[str, str] = TEMPLATES, names: dict[str, str] = NAMES):
+        texts = [*templates.items(), *((k, form.format(n)) for k, n in names.items() for form in FORMS)]
+        docs = [(k, Counter(TOKEN.findall(v.lower()))) for k, v in texts]
+        df = Counter(t for _, c in docs for t in c)
         self.idf = {t: math.log((1 + len(docs)) / (1 + n)) + 1 for t, n in df.items()}
         self.unseen = math.log(1 + len(docs)) + 1
-        self.names = {k.lower(): k for k in templates}
-        self.postings: dict[str, list[tuple[str, float]]] = {}
-        for k, c in docs.items():
-            norm = math.sqrt(sum((n * self.idf[t]) ** 2 for t, n in c.items()))
+        self.names, self.licences = {k.lower(): k for k in templates}, [k for k, _ in docs]
+        self.postings: dict[str, list[tuple[int, float]]] = {}
+        for j, (_, c) in enumerate(docs):
+            norm = self._norm(c)
             for t, n in c.items():
-                self.postings.setdefault(t, []).append((k, n * self.idf[t] / norm))
+                self.postings.setdefault(t, []).append((j, n * self.idf[t] / norm))
+
+    def _norm(self, counts: Counter) -> float:
+        return math.sqrt(sum((n * self.idf.get(t, self.unseen)) ** 2 for t, n in counts.items()))
 
     def cosine(self, text: str) -> tuple[str | None, float]:
-        """Best template of one header and its similarity; ties by name. Words
-        that no template has count only up to the number of those that have."""
+        """Licence of the template closest to one header, and its cosine; ties by
+        name."""
         got = Counter(TOKEN.findall(text.lower()))
-        known = {t: n for t, n in got.items() if t in self.idf}
-        if not known:
+        norm, score = self._norm(got), {}
+        for t, n in got.items():
+            for j, w in self.postings.get(t, ()):
+                score[j] = score.get(j, 0.0) + n * self.idf[t] / norm * w
+        if not score:
             return None, 0.0
-        norm = math.sqrt(sum((n * self.idf[t]) ** 2 for t, n in known.items()))
-        score: dict[str, float] = {}
-        for t, n in known.items():
-            for k, w in self.postings[t]:
-                score[k] = score.get(k, 0.0) + n * self.idf[t] / norm * w
-        best = min(score, key=lambda k: (-round(score[k], 9), k))
-        return best, score[best]
+        best = min(score, key=lambda j: (-round(score[j], 9), self.licences[j]))
+        return self.licences[best], score[best]
 
     def file(self, text: str | None) -> tuple[str | None, float, int]:
         """Licence, similarity and number of headers of a whole text."""
@@ -88,8 +101,9 @@ class Matcher:
                 if not HEADER.search(s):
                     continue
                 n += 1
-                if (x := SPDX.search(s)) and x[1].lower() in self.names:
-                    name, sim = self.names[x[1].lower()], 1.0
+                if x := SPDX.search(s):
+                    name = self.names.get(x[1].lower())
+                    sim = 1.0 if name else 0.0
                 else:
                     name, sim = self.cosine(s)
                 if name and (sim > top or sim == top and name < best):
@@ -108,13 +122,13 @@ def scan(files: DataFrame, least: float = LEAST) -> DataFrame:
 
     def run(batches):
         m = Matcher()
-        for b in batches:
+        for b in sliced(batches, 2):
             got = [m.file(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([g[0] if g[1] >= least else None for g in got], pa.string()), pa.array([round(g[1], 6) for g in got], pa.float64()), pa.array([g[2] for g in got], pa.int64())], ["id", "path", "own", "similarity", "headers"])
 
     src = files.select("id", F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     own = src.mapInArrow(run, f"id {src.dtypes[0][1]}, path string, own string, similarity double, headers long")
-    own = own.withColumn("dir", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    own = staged(own, "licence-scan").withColumn("dir", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
     speaks = own.where(F.col("own").isNotNull() & F.col("path").rlike("(?i)" + FILES.pattern)).groupBy("dir").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "own")).alias("best")).select(F.col("dir").alias("above"), F.col("best.own").alias("given"))
     parts = F.split("dir", "/")
     dirs = own.where("path is not null").select("dir").distinct()
