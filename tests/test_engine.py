@@ -6,8 +6,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tracewright.operators import correlation, ml
-from tracewright.plans import pipeline
+from tracewright.functions import parsers
+from tracewright.operators import aggregation, correlation, ml
+from tracewright.plans import pipeline, simulation
 from tracewright.sources import logs, provenance, sinks
 from tracewright.streaming import jobs, sources
 
@@ -86,3 +87,89 @@ def test_registry():
 
     names = entry.queries()
     assert set(entry.oracle_sql()) <= set(names) and "hourly_summary" in names
+
+
+def test_ready_and_raw_lines(spark, tmp_path):
+    ready = json.dumps({"event_uid": "u1", "raw_log": "x", "src_ip": "1.1.1.1", "severity": 8, "threat_intel_score": "odd", "more": {"a": 1}})
+    rows = [ready, '{"src_ip": "2.2.2.2"}', CEF.format(k=1, p=1), "?? no format"]
+    lines = spark.createDataFrame(list(enumerate(rows)), "ordinal long, line string").withColumn("source_file", F.lit("f"))
+    got = {r.src_ip: r for r in pipeline.direct_events(lines, "api").collect()}
+    assert set(got) == {"1.1.1.1", "2.2.2.2", "203.0.113.88"}
+    one = got["1.1.1.1"]
+    assert (one.event_uid, one.raw_log, one.severity, one.threat_intel_score, one.extra_fields) == ("u1", "x", 8, None, {"more": '{"a":1}'})
+    assert got["2.2.2.2"].format_name == "json" and got["203.0.113.88"].is_malicious
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.jsonl").write_text("\n".join(rows))
+    q = jobs.json_events(sources.tailed(spark, str(tmp_path / "in"))).writeStream.format("memory").queryName("tail_json").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {(r.src_ip, r.format_name) for r in spark.table("tail_json").collect()} == {("1.1.1.1", None), ("2.2.2.2", None), ("203.0.113.88", "cef")}
+
+
+def test_simulations(spark):
+    rules = {"port_scan": "PORT_SCAN_SWEEP", "brute_force": "BRUTE_FORCE_CAMPAIGN", "cross_device": "CROSS_DEVICE_CAMPAIGN", "c2_beacon": "MALICIOUS_C2_BEACON", "exploit_followup": "HIGH_SEVERITY_MULTI_VECTOR"}
+    for name, rule in rules.items():
+        events, found = simulation.simulate(spark, name)
+        assert events.count() == len(simulation.scripted(name))
+        assert rule in {r.rule_name for r in correlation.history(found).collect()}
+    with pytest.raises(ValueError):
+        simulation.scripted("odd")
+
+
+def test_history_is_newest_first(spark):
+    a = spark.createDataFrame([("a", 1), ("b", 3), ("c", 2), ("d", 3)], "alert_id string, s long").select("alert_id", F.timestamp_seconds("s").alias("timestamp_utc"))
+    assert [r.alert_id for r in correlation.history(a, 3).collect()] == ["b", "d", "c"]
+
+
+def test_empty_months_and_line_numbers(spark, tmp_path):
+    per = spark.createDataFrame([("2024-01-01", 2), ("2024-04-01", 1)], "month string, events long").withColumn("month", F.col("month").cast("timestamp"))
+    got = aggregation.filled(per, "month", "1 MONTH").orderBy("month").collect()
+    assert [(r.month.month, r.events) for r in got] == [(1, 2), (2, None), (3, None), (4, 1)] and aggregation.filled(per.limit(0), "month", "1 MONTH").count() == 0
+    text = [f"line {k}" if k % 7 else "" for k in range(1, 3001)]
+    (tmp_path / "big.log").write_text("\n".join(text) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = logs.read_numbered_lines(spark, str(tmp_path / "big.log")).orderBy("source_line").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.source_line for r in rows] == list(range(1, 3001)) and [r.line for r in rows] == text
+
+
+def test_datagrams(spark, tmp_path):
+    import socket
+    import time
+
+    with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as s:
+        s.bind(("127.0.0.1", 0))
+        port = s.getsockname()[1]
+    q = sources.udp_lines(spark, port).writeStream.format("memory").queryName("udp").option("checkpointLocation", str(tmp_path / "cp")).start()
+    try:
+        out, end = socket.socket(socket.AF_INET, socket.SOCK_DGRAM), time.time() + 60
+        while time.time() < end and spark.table("udp").count() == 0:
+            out.sendto(b"<134>hello\n", ("127.0.0.1", port))
+            time.sleep(0.5)
+        assert {(r.line, r.source_file) for r in spark.table("udp").collect()} == {("<134>hello", f"udp:127.0.0.1:{port}")}
+    finally:
+        q.stop()
+        out.close()
+
+
+# Lines of shapes that the rendered queries do not have: (line, format, expected fields)
+SHAPES = [
+    ("LEEF:1.0|Acme|Box|2|77|src=1.2.3.4\tdst=5.6.7.8\tsev=3", "leef", {"leef_version": "1.0", "src_ip": "1.2.3.4", "dst_ip": "5.6.7.8", "severity": "3"}),
+    ("LEEF:2.0|Acme|Box|2|77|delimiter=0x7C|src=1.2.3.4|dst=5.6.7.8", "leef", {"src_ip": "1.2.3.4", "dst_ip": "5.6.7.8"}),
+    ("<34>Jan  8 12:00:01 gate sshd: denied src=1.2.3.4", "syslog", {"timestamp_raw": "Jan  8 12:00:01", "device_hostname": "gate", "tag": "sshd", "src_ip": "1.2.3.4"}),
+    ("<34>Jan 8 2024 12:00:01 gate sshd: from 1.2.3.4", "syslog", {"timestamp_raw": "Jan 8 2024 12:00:01", "device_hostname": "gate", "src_ip": "1.2.3.4"}),
+    ("Jan 18 10:00:00 gate %ASA-3-305006: no ports here", "cisco_asa", {"threat_signature_id": "305006", "src_ip": None, "dst_port": None}),
+    ("[**] [1:2:3] only a marker [**] and no more", "snort_alert", {"threat_signature_id": "1:2:3", "threat_name": "only a marker", "src_ip": None}),
+    ('{"eventName": "ListUsers", "eventSource": "iam.amazonaws.com", "sourceIPAddress": "1.2.3.4"}', "aws_cloudtrail", {"threat_name": "AWS:ListUsers", "src_ip": "1.2.3.4"}),
+    ('[{"eventName": "ListUsers", "eventSource": "iam.amazonaws.com", "sourceIPAddress": "1.2.3.4"}]', "aws_cloudtrail", {"threat_name": "AWS:ListUsers", "src_ip": "1.2.3.4"}),
+    ("# a comment", "cef", None),
+]
+
+
+@pytest.mark.parametrize("line, name, wanted", SHAPES)
+def test_shapes_of_lines(spark, line, name, wanted):
+    parsers.last_wins(spark)
+    p = spark.createDataFrame([(line,)], "line string").select(parsers.parse(F.col("line"), name).alias("p")).first().p
+    assert p.success == (wanted is not None)
+    assert wanted is None or {k: p.fields.get(k) for k in wanted} == wanted

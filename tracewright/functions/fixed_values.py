@@ -347,3 +347,16 @@ THREATS = {
     "89.248.165.10": ("masscan_recon", 0.70),
 }
 THREAT_NETS = [("198.51.100.64/28", "emerging_threats_bruteforce", 0.88), ("203.0.113.80/28", "darklist_c2_pool", 0.95)]
+
+# The shapes of log lines; groups are numbered in the order of the fields --
+CEF_LINE = r"(?s)^.*?CEF:(\d+)" + r"\|([^|]*)" * 6 + r"\|(.*)$"
+CEF_PAIR = r"(?U)(\w+)=(.*?)(?=\s+\w+=|$)"
+LEEF_LINE = r"(?s)^LEEF:(\d+\.\d+)" + r"\|([^|]*)" * 4 + r"(?:\|delimiter=([^|]+))?\|(.*)$"
+SNORT_LINE = (
+    r"(?i)^(\d{2}/\d{2}(?:/\d{4})?-\d{2}:\d{2}:\d{2}[.\d]*)\s+(?:\[([^\]]+)\]\s+)?\[\*\*\]\s+\[(\d+:\d+:\d+)\]\s+([^\[]+?)\s+\[\*\*\]"
+    r"(?:\s+\[Classification:\s*([^\]]*)\])?(?:\s+\[Priority:\s*(\d+)\])?\s+\{(\w+)\}\s+([\d.]+)(?::(\d+))?\s*->\s*([\d.]+)(?::(\d+))?"
+)
+SYSLOG_5424 = r"(?s)^<(\d{1,3})>(\d+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(.*)$"
+SYSLOG_3164 = r"(?s)^<(\d{1,3})>([A-Z][a-z]{2}\s+\d{1,2}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+([^\s:]+)(?::\s*)?(.*)$"
+SYSLOG_3164_YEAR = r"(?s)^<(\d{1,3})>([A-Z][a-z]{2}\s+\d{1,2}\s+\d{4}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+([^\s:]+)?(?::\s*)?(.*)$"
+SYSLOG_PAIR = r"(?U)(\w+)=([\"']?)([^\"'=,\s]+)\2"

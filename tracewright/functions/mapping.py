@@ -73,7 +73,7 @@ def map_fields(df: DataFrame, field_map: dict[str, str] | None = None, defaults:
         for r in own:
             value = F.coalesce(value, F.try_element_at(got, F.lit(r)))
             there = there | F.map_contains_key(got, r)
-        c = coerce(name, value).cast(kind)
+        c = coerce(name, value).try_cast(kind)
         if name in defaults:
             c = F.when(there, c).otherwise(F.lit(defaults[name]).cast(kind))
         cols[name] = c

@@ -119,27 +119,22 @@ def paloalto_threat(line: Column) -> Column:
 
 
 # CEF and LEEF ------------------------------------------------------------
-CEF = r"(?s)^.*?CEF:(\d+)" + r"\|([^|]*)" * 6 + r"\|(.*)$"
-PAIR = r"(?U)(\w+)=(.*?)(?=\s+\w+=|$)"
 
 
 def cef(line: Column) -> Column:
     s = F.trim(line)
-    ext = F.regexp_extract(s, CEF, 8)
-    keys, values = F.regexp_extract_all(ext, F.lit(PAIR), F.lit(1)), F.regexp_extract_all(ext, F.lit(PAIR), F.lit(2))
+    ext = F.regexp_extract(s, V.CEF_LINE, 8)
+    keys, values = F.regexp_extract_all(ext, F.lit(V.CEF_PAIR), F.lit(1)), F.regexp_extract_all(ext, F.lit(V.CEF_PAIR), F.lit(2))
     entries = F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), F.trim(v).alias("value")))
     known, other = routed(entries, V.CEF_KEYS)
-    g = lambda k: F.regexp_extract(s, CEF, k)
+    g = lambda k: F.regexp_extract(s, V.CEF_LINE, k)
     head = pairs(cef_version=g(1), vendor=g(2), device_product=g(3), device_version=g(4), threat_signature_id=g(5), threat_name=g(6), severity=F.trim(g(7)), severity_label=F.trim(g(7)))
-    return result(s.rlike(CEF), merged(head, known), other, "no CEF header")
-
-
-LEEF = r"(?s)^LEEF:(\d+\.\d+)" + r"\|([^|]*)" * 4 + r"(?:\|delimiter=([^|]+))?\|(.*)$"
+    return result(s.rlike(V.CEF_LINE), merged(head, known), other, "no CEF header")
 
 
 def leef(line: Column) -> Column:
     s = F.trim(line)
-    g = lambda k: F.regexp_extract(s, LEEF, k)
+    g = lambda k: F.regexp_extract(s, V.LEEF_LINE, k)
     raw = F.trim(g(6))
     hexa = F.conv(F.regexp_extract(raw, r"^0[xX]([0-9A-Fa-f]+)$", 1), 16, 10).try_cast("int")
     mark = F.when(raw == "", "\t").when(hexa.isNotNull(), F.char(hexa)).when(raw.rlike("^0[xX]"), "\t").otherwise(pick(raw, {"\\t": "\t", "\\n": "\n", "\\r": "\r", "\\|": "|"}, raw))
@@ -148,31 +143,23 @@ def leef(line: Column) -> Column:
     entries = F.transform(attrs, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("key"), F.trim(F.substring(x, F.instr(x, F.lit("=")) + 1, F.length(x))).alias("value")))
     known, other = routed(entries, V.LEEF_KEYS)
     head = pairs(leef_version=g(1), vendor=g(2), device_product=g(3), device_version=g(4), threat_signature_id=g(5))
-    return result(s.rlike(LEEF), merged(head, known), other, "no LEEF header")
+    return result(s.rlike(V.LEEF_LINE), merged(head, known), other, "no LEEF header")
 
 
 # Snort -------------------------------------------------------------------
-SNORT = (
-    r"(?i)^(\d{2}/\d{2}(?:/\d{4})?-\d{2}:\d{2}:\d{2}[.\d]*)\s+(?:\[([^\]]+)\]\s+)?\[\*\*\]\s+\[(\d+:\d+:\d+)\]\s+([^\[]+?)\s+\[\*\*\]"
-    r"(?:\s+\[Classification:\s*([^\]]*)\])?(?:\s+\[Priority:\s*(\d+)\])?\s+\{(\w+)\}\s+([\d.]+)(?::(\d+))?\s*->\s*([\d.]+)(?::(\d+))?"
-)
 
 
 def snort_alert(line: Column) -> Column:
     """A line with the marker alone still succeeds, with what can be found."""
     s = F.trim(line)
-    g = lambda k: part(s, SNORT, k)
+    g = lambda k: part(s, V.SNORT_LINE, k)
     base = const(event_category="threat", vendor="snort_suricata", device_type="ids_ips")
     whole = merged(base, pairs(timestamp_raw=g(1), action=F.lower(F.trim(F.coalesce(g(2), F.lit("alert")))), threat_signature_id=g(3), threat_name=F.trim(g(4)), classification=g(5), priority=F.coalesce(g(6), F.lit("")), severity=pick(g(6), V.SNORT_PRIORITY, "unknown"), severity_label=F.concat(F.lit("Priority "), g(6)), protocol=F.lower(g(7)), src_ip=g(8), src_port=g(9), dst_ip=g(10), dst_port=g(11)))
     some = merged(base, pairs(raw_message=s, threat_signature_id=part(s, r"\[(\d+:\d+:\d+)\]", 1), threat_name=F.trim(part(s, r"\[\*\*\]\s+(?:\[\d+:\d+:\d+\]\s+)?([^\[]+?)\s+\[\*\*\]", 1))))
-    return result(s.contains("[**]"), F.when(s.rlike(SNORT), whole).otherwise(some), None, "no alert marker")
+    return result(s.contains("[**]"), F.when(s.rlike(V.SNORT_LINE), whole).otherwise(some), None, "no alert marker")
 
 
 # syslog ------------------------------------------------------------------
-RFC5424 = r"(?s)^<(\d{1,3})>(\d+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(.*)$"
-RFC3164 = r"(?s)^<(\d{1,3})>([A-Z][a-z]{2}\s+\d{1,2}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+([^\s:]+)(?::\s*)?(.*)$"
-RFC3164Y = r"(?s)^<(\d{1,3})>([A-Z][a-z]{2}\s+\d{1,2}\s+\d{4}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+([^\s:]+)?(?::\s*)?(.*)$"
-KV = r"(?U)(\w+)=([\"']?)([^\"'=,\s]+)\2"
 NET = rf"(?i)(?:src|source|from)[=:\s]+([\d.]+)(?:[:/](\d+))?|(?:dst|dest|destination|to)[=:\s]+([\d.]+)(?:[:/](\d+))?|((?<!\d){ADDRESS}(?!\d))"
 
 
@@ -184,14 +171,14 @@ def _network(text: Column) -> Column:
 
 
 def _key_values(text: Column) -> Column:
-    keys, values = F.regexp_extract_all(text, F.lit(KV), F.lit(1)), F.regexp_extract_all(text, F.lit(KV), F.lit(3))
+    keys, values = F.regexp_extract_all(text, F.lit(V.SYSLOG_PAIR), F.lit(1)), F.regexp_extract_all(text, F.lit(V.SYSLOG_PAIR), F.lit(3))
     return compact(F.zip_with(keys, values, lambda k, v: F.struct(pick(F.lower(k), V.SYSLOG_KEYS, F.lower(k)).alias("key"), v.alias("value"))))
 
 
 def syslog(line: Column) -> Column:
     """Later sources of a field win: header, key=value, addresses, action word."""
     s = F.trim(line)
-    is5, is3, is3y = s.rlike(RFC5424), s.rlike(RFC3164), s.rlike(RFC3164Y)
+    is5, is3, is3y = s.rlike(V.SYSLOG_5424), s.rlike(V.SYSLOG_3164), s.rlike(V.SYSLOG_3164_YEAR)
     pri = part(s, r"^<(\d{1,3})>", 1).try_cast("int")
     code = pri.bitwiseAND(7)
     level, score = F.get(F.array(*map(F.lit, V.SYSLOG_LEVELS)), code), F.get(F.array(*map(F.lit, V.SYSLOG_SCORES)), code)
@@ -202,9 +189,9 @@ def syslog(line: Column) -> Column:
         both = F.concat(tag, F.lit(": "), msg)
         return pairs(timestamp_raw=part(s, regex, 2), device_hostname=part(s, regex, 3), tag=tag, message=F.regexp_replace(both, "^[: ]+|[: ]+$", "")), F.concat_ws(" ", tag, msg)
 
-    m5 = F.trim(F.regexp_extract(s, RFC5424, 8))
-    f5 = pairs(timestamp_raw=part(s, RFC5424, 3), device_hostname=part(s, RFC5424, 4), app_name=part(s, RFC5424, 5), message=m5)
-    (f3, t3), (fy, ty) = old(RFC3164), old(RFC3164Y)
+    m5 = F.trim(F.regexp_extract(s, V.SYSLOG_5424, 8))
+    f5 = pairs(timestamp_raw=part(s, V.SYSLOG_5424, 3), device_hostname=part(s, V.SYSLOG_5424, 4), app_name=part(s, V.SYSLOG_5424, 5), message=m5)
+    (f3, t3), (fy, ty) = old(V.SYSLOG_3164), old(V.SYSLOG_3164_YEAR)
     own = F.when(is5, f5).when(is3, f3).when(is3y, fy).otherwise(pairs(message=s))
     text = F.when(is5, m5).when(is3, t3).when(is3y, ty).otherwise(s)
     act = F.lower(part(text, "(?i)" + V.SYSLOG_ACTIONS, 1))
@@ -231,7 +218,6 @@ def cj_json_array(line: Column) -> Column:
     return result(F.coalesce(ok, F.lit(False)), pairs(**{n: F.get(a, F.lit(k)) for k, n in enumerate(CJ)}), None, "no array of 8 values")
 
 
-
 def aws_cloudtrail(line: Column) -> Column:
     """The first record of a line: of a wrapper, an array, or an object itself."""
     s = F.trim(line)
@@ -287,8 +273,6 @@ def parse_xml(lines):
     return pd.DataFrame(rows, columns=["ok", "root", "flat", "data"])
 
 
-
-
 def xml_generic(line: Column) -> Column:
     x = parse_xml(line)
     entries = F.transform(F.map_entries(x["flat"]), lambda e: F.struct(F.regexp_replace(e["key"], "[- ]", "_").alias("key"), e["value"].alias("value")))
@@ -297,7 +281,6 @@ def xml_generic(line: Column) -> Column:
     return result(F.coalesce(x["ok"], F.lit(False)), merged(base, known), merged(other, pairs(xml_root_tag=x["root"])), "XML does not parse")
 
 
-
 def windows_event_xml(line: Column) -> Column:
     x = parse_xml(line)
     g = lambda k: F.nullif(F.try_element_at(x["flat"], F.lit(k)), F.lit(""))

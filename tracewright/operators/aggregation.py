@@ -40,6 +40,13 @@ def combined(*sidecars: DataFrame) -> DataFrame:
     return out
 
 
+def filled(per: DataFrame, at: str, step: str) -> DataFrame:
+    """``per`` with a row for every ``step`` between its first and last ``at``; the
+    other columns of those that were not there are null. One row a step."""
+    span = per.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo is not null")
+    return span.select(F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {step}"))).alias(at)).join(per, at, "left")
+
+
 def view_violations(view: DataFrame) -> DataFrame:
     """violation, n: one row for each rule of analysis views that ``view`` could
     break, and one for each forbidden column it has. One pass of aggregates."""

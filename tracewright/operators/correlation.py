@@ -165,6 +165,11 @@ def alerts(events: DataFrame, names=None, rules: dict[str, Rule] | None = None)
     return out
 
 
+def history(found: DataFrame, most: int = 500) -> DataFrame:
+    """The newest alerts, newest first; ties by id. The ring's size is the feature."""
+    return found.orderBy(F.desc("timestamp_utc"), "alert_id").limit(most)
+
+
 def eps(events: DataFrame, ts: str = "timestamp_utc") -> DataFrame:
     """Events per second, seconds without any filled with 0."""
     per = events.groupBy(F.date_trunc("second", ts).alias("second")).agg(F.count(F.lit(1)).alias("n"))

@@ -121,13 +121,15 @@ def balanced(df: DataFrame, label: str = "y") -> DataFrame:
 
 
 def train(df: DataFrame, kind: str = "rf", label: str = "y", seed: int = 42, calibrate: bool = True, trees: int = 100, depth: int = 12) -> tuple[Classifier, dict]:
-    """A classifier of events with a 0/1 label, and its metrics on the test part."""
+    """A classifier of events with a 0/1 label, and its metrics on the test part. The
+    regression's penalty is that of C = 1: one over the sum of the weights, which is
+    the number of training rows."""
     from pyspark.ml import Pipeline
 
     parts = featured(stratified(df, label, seed=seed))
     cols = [f"f_{n}" for n in NAMES]
     if kind == "lr":
-        model = LogisticRegression(featuresCol="scaled", labelCol=label, weightCol="weight", maxIter=1000, regParam=0.0)
+        model = LogisticRegression(featuresCol="scaled", labelCol=label, weightCol="weight", maxIter=1000, regParam=1.0 / max(1, parts.where("part = 'train'").count()))
     else:
         model = RandomForestClassifier(featuresCol="scaled", labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True), model])

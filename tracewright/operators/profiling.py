@@ -64,7 +64,14 @@ def concentration(df: DataFrame, name: str) -> DataFrame:
 
 def reservoir(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
     """A uniform sample of k rows by a seeded hash of a unique key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(k)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(k)
+
+
+def line_counts(parsed: DataFrame) -> DataFrame:
+    """lines, blank_lines, concatenated_lines (more than one value) and values of
+    parsed arrays; a line's second value marks it, so nothing is grouped by line."""
+    at, n = F.col("array_position"), F.count_if
+    return parsed.agg(n(at.isNull() | (at == 1)).alias("lines"), n(F.col("parse_status") == "blank").alias("blank_lines"), n(at == 2).alias("concatenated_lines"), n(at.isNotNull()).alias("values"))
 
 
 def timestamp_shapes(df: DataFrame, name: str) -> DataFrame:

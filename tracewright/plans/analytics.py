@@ -215,10 +215,13 @@ def split_client_overlap(spark, d):
     return x.where("data_split = 'train'").select("client_ip").intersect(x.where("data_split = 'test'").select("client_ip"))
 
 
-@query(f"{WITH_L} SELECT data_split, min(timestamp_normalized) AS first_timestamp, max(timestamp_normalized) AS last_timestamp, count(*) AS n, arg_max(weak_label, c) AS majority FROM (SELECT *, count(*) OVER (PARTITION BY data_split, weak_label) AS c FROM l) GROUP BY 1")
+@query(f"""{WITH_L}, counted AS (SELECT data_split, weak_label, min(timestamp_normalized) AS a, max(timestamp_normalized) AS b, count(*) AS c FROM l GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY data_split ORDER BY c DESC, weak_label) AS most, row_number() OVER (PARTITION BY data_split ORDER BY c, weak_label) AS least FROM counted)
+SELECT data_split, min(a) AS first_timestamp, max(b) AS last_timestamp, sum(c)::BIGINT AS n, max(weak_label) FILTER (most = 1) AS majority, max(weak_label) FILTER (least = 1) AS minority, round(max(c)::DOUBLE / min(c), 6) AS imbalance_ratio FROM ranked GROUP BY 1""")
 def split_bounds(spark, d):
     per = labelled(spark, d).groupBy("data_split", "weak_label").agg(F.min("timestamp_normalized").alias("a"), F.max("timestamp_normalized").alias("b"), F.count(F.lit(1)).alias("c"))
-    return per.groupBy("data_split").agg(F.min("a").alias("first_timestamp"), F.max("b").alias("last_timestamp"), F.sum("c").alias("n"), F.max_by("weak_label", "c").alias("majority"))
+    most, least = F.struct(-F.col("c"), "weak_label"), F.struct("c", "weak_label")
+    return per.groupBy("data_split").agg(F.min("a").alias("first_timestamp"), F.max("b").alias("last_timestamp"), F.sum("c").alias("n"), F.min_by("weak_label", most).alias("majority"), F.min_by("weak_label", least).alias("minority"), (F.max("c") / F.min("c")).alias("imbalance_ratio"))
 
 
 @query(f"{WITH_L} SELECT data_split, weak_label, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY data_split), 6)::DOUBLE AS percent FROM l GROUP BY data_split, weak_label")

@@ -215,11 +215,19 @@ def cef_lines(spark, d):
 
 
 # arrays of values, structuring, cleaning ----------------------------------------
+def array_lines(spark, d):
+    one = "concat('[\"c\",\"s\",\"2024-01-01 00:00:00\",\"', client_ip, '\",80,null,\"en\",\"m\"]')"
+    return structured(spark, d).select(F.col("ordinal").cast("long").alias("source_line"), F.expr(f"CASE ordinal % 6 WHEN 0 THEN '  ' WHEN 1 THEN '[1,' WHEN 2 THEN '{{\"a\":1}}' WHEN 3 THEN '[1,2]' WHEN 4 THEN {one} ELSE concat({one}, ' ', {one}) END").alias("line"))
+
+
 @query(f"WITH {SQL} SELECT CASE event_id::BIGINT % 6 WHEN 0 THEN 'blank' WHEN 1 THEN 'invalid_json' WHEN 2 THEN 'not_an_array' WHEN 3 THEN 'invalid_field_count' ELSE 'valid' END AS parse_status, (count(*) + count(*) FILTER (event_id::BIGINT % 6 = 5))::BIGINT AS n FROM s GROUP BY 1")
 def parse_status_counts(spark, d):
-    one = "concat('[\"c\",\"s\",\"2024-01-01 00:00:00\",\"', client_ip, '\",80,null,\"en\",\"m\"]')"
-    lines = structured(spark, d).select(F.col("ordinal").cast("long").alias("source_line"), F.expr(f"CASE ordinal % 6 WHEN 0 THEN '  ' WHEN 1 THEN '[1,' WHEN 2 THEN '{{\"a\":1}}' WHEN 3 THEN '[1,2]' WHEN 4 THEN {one} ELSE concat({one}, ' ', {one}) END").alias("line"))
-    return logs.parse_arrays(lines).groupBy("parse_status").agg(F.count(F.lit(1)).alias("n"))
+    return logs.parse_arrays(array_lines(spark, d)).groupBy("parse_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {SQL} SELECT count(*) AS lines, count(*) FILTER (event_id::BIGINT % 6 = 0) AS blank_lines, count(*) FILTER (event_id::BIGINT % 6 = 5) AS concatenated_lines, (count(*) FILTER (event_id::BIGINT % 6 <> 0) + count(*) FILTER (event_id::BIGINT % 6 = 5))::BIGINT AS \"values\" FROM s")
+def line_counts(spark, d):
+    return profiling.line_counts(logs.parse_arrays(array_lines(spark, d)))
 
 
 @query(f"""WITH {SQL} SELECT concat('dataset12345:', event_id, ':1') AS event_id, substr(sha256(concat('["c","s","2024-01-01 00:00:00","', client_ip, '",80,null,"en","m"]')), 1, 32) AS record_hash, client_ip, '80' AS source_port, NULL::VARCHAR AS user_agent FROM s""")
@@ -277,12 +285,14 @@ def evidence_count_consistency(spark, d):
     return labelled(spark, d).agg(F.count_if(F.col("evidence_count") != want).alias("inconsistent"), F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {SQL} SELECT date_trunc('month', timestamp_normalized)::TIMESTAMP AS month, count(*) AS events, round(count(*) FILTER (event_type = 'error') * 100.0 / count(*), 6)::DOUBLE AS error_percent FROM s GROUP BY 1")
+@query(f"""WITH {SQL}, months AS (SELECT date_trunc('month', timestamp_normalized)::TIMESTAMP AS month, count(*) AS events, round(count(*) FILTER (event_type = 'error') * 100.0 / count(*), 6)::DOUBLE AS error_percent FROM s GROUP BY 1)
+SELECT month, coalesce(events, 0) AS events, error_percent FROM (SELECT unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS month FROM months) LEFT JOIN months USING (month)""")
 def monthly_summary(spark, d):
-    return structured(spark, d).groupBy(F.date_trunc("month", "timestamp_normalized").alias("month")).agg(F.count(F.lit(1)).alias("events"), (F.count_if(F.col("event_type") == "error") * 100.0 / F.count(F.lit(1))).alias("error_percent"))
+    per = structured(spark, d).groupBy(F.date_trunc("month", "timestamp_normalized").alias("month")).agg(F.count(F.lit(1)).alias("events"), (F.count_if(F.col("event_type") == "error") * 100.0 / F.count(F.lit(1))).alias("error_percent"))
+    return aggregation.filled(per, "month", "1 MONTH").withColumn("events", F.coalesce("events", F.lit(0)))
 
 
-@query()
+@query(f"WITH {SQL} SELECT event_id FROM s ORDER BY md5(concat('42:', event_id)), event_id LIMIT 100")
 def reservoir_sample(spark, d):
     return profiling.reservoir(structured(spark, d), "event_id", 100).select("event_id")
 
@@ -328,7 +338,7 @@ def ingest_summary(spark, d):
 
 def classify_synthetic(spark: SparkSession, d: str) -> DataFrame:
     """A calibrated classifier trained on synthetic events, applied to ``events``."""
-    clf, _ = ml.train(logs.synthetic_events(spark, 2000), trees=20, depth=6)
+    clf, _ = ml.train(logs.synthetic_events(spark, 3000))
     out = clf.predict(canonical(spark, d))
     return out.select("ordinal", "label", "confidence")
 

@@ -91,6 +91,39 @@ def validated(df: DataFrame) -> DataFrame:
     return df.withColumn("errors", mapping.validation_errors())
 
 
+def is_ready(line, any_object: bool = False):
+    """Whether a line is a JSON event already: an object with an event_uid or a
+    raw_log, or any object."""
+    keys = F.json_object_keys(line)
+    named = F.lit(True) if any_object else F.array_contains(keys, "event_uid") | F.array_contains(keys, "raw_log")
+    return F.coalesce(keys.isNotNull() & named, F.lit(False))
+
+
+def ready_events(lines: DataFrame, source_id: str) -> DataFrame:
+    """Events of lines that are JSON events: their own identity where they state
+    one, canonical columns by name, all else in the extra fields. Not enriched."""
+    parsers.last_wins(lines.sparkSession)
+    f = F.from_json("line", "map<string,string>")
+    own = lambda k: F.try_element_at("__f", F.lit(k))
+    uid = F.sha2(F.concat_ws("|", F.lit(source_id), F.col("ordinal").cast("string"), "line"), 256)
+    df = lines.withColumn("__f", f).withColumns({
+        "event_uid": F.coalesce(own("event_uid"), F.regexp_replace(F.substring(uid, 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")),
+        "raw_log": F.coalesce(own("raw_log"), F.col("line")), "format_name": own("format_name"), "source_id": F.coalesce(own("source_id"), F.lit(source_id)),
+        "ingest_timestamp": F.coalesce(own("ingest_timestamp").try_cast("timestamp"), F.current_timestamp()), "fields": F.map_filter("__f", lambda k, v: ~k.isin(*mapping.IDENTITY)), "extra": F.create_map().cast(parsers.MAP),
+    })
+    df = df.withColumn("record_hash", F.coalesce(own("record_hash"), crypto.record_hash(F.col("raw_log"))))
+    return mapping.map_fields(df.drop("line", "__f"))
+
+
+def direct_events(lines: DataFrame, source_id: str, any_object: bool = False, enrich: bool = True) -> DataFrame:
+    """Events of lines of which some are JSON events already and the rest raw logs;
+    lines that no parser takes are left out. Batch or stream."""
+    ready = is_ready(F.col("line"), any_object)
+    raw = events(parsed(lines.where(~ready)), source_id)
+    raw = enrichment.enrich(raw) if enrich else raw
+    return raw.unionByName(ready_events(lines.where(ready), source_id), allowMissingColumns=True)
+
+
 def process(spark: SparkSession, lines: list[str], format_name: str | None = None, enrich: bool = True) -> DataFrame:
     """A few lines given directly: canonical events with ``is_threat``."""
     df = spark.createDataFrame([(k, x.strip()) for k, x in enumerate(lines) if x.strip()], "ordinal long, line string").withColumn("source_file", F.lit("direct"))

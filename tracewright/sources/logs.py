@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FIELDS = ["category_type", "sub_key", "timestamp", "client_ip", "source_port", "user_agent", "language", "metadata"]
@@ -26,9 +26,11 @@ def read_lines(spark: SparkSession, path: str, max_events: int | None = None) ->
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """source_line (1, 2, …) and line, blank lines too: exact numbers need the
-    sizes of the partitions before, which ``zipWithIndex`` counts in one narrow job."""
-    rows = spark.read.text(path).rdd.zipWithIndex().map(lambda x: (x[1] + 1, x[0][0]))
-    return spark.createDataFrame(rows, "source_line long, line string")
+    sizes of the partitions before, one row a partition, counted in a scan of its own."""
+    raw = spark.read.text(path).select(F.col("value").alias("line"), F.spark_partition_id().alias("__p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("__n"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = raw.groupBy("__p").agg(F.count(F.lit(1)).alias("__c")).select("__p", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__start"))
+    return raw.join(starts, "__p").select((F.col("__start") + F.col("__n") + 1).alias("source_line"), "line")
 
 
 def decoded_values(text: str):

@@ -24,6 +24,12 @@ def normalised(lines: DataFrame, format_name: str, source_id: str, field_map: di
     return enrichment.enrich(out) if enrich else out
 
 
+def json_events(lines: DataFrame, source_id: str = "file_tailer", enrich: bool = True) -> DataFrame:
+    """Canonical events of a stream of JSON-lines, in which raw logs may stand too."""
+    df = lines.withColumn("ordinal", F.xxhash64("source_file", "line", "arrived"))
+    return pipeline.direct_events(df, source_id, any_object=True, enrich=enrich)
+
+
 def per_second(events: DataFrame, ts: str = "timestamp_utc", late: str = LATE) -> DataFrame:
     """Events of each second; final once the watermark has passed. The watermark
     is an addition: events later than that are not counted."""

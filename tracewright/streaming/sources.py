@@ -50,22 +50,29 @@ class DatagramSource(DataSource):
 
 class DatagramReader(SimpleDataSourceStreamReader):
     def __init__(self, options):
-        import socket
-
-        self.socket = socket.socket(socket.AF_INET, socket.SOCK_DGRAM)
-        self.socket.bind((options.get("host", "127.0.0.1"), int(options.get("port", 5514))))
-        self.socket.setblocking(False)
+        # Spark makes readers that never read, too: only the first read binds
+        self.address = options.get("host", "127.0.0.1"), int(options.get("port", 5514))
+        self.socket = None
         self.most = int(options.get("maxPerBatch", 10_000))
         self.held: dict[int, tuple[str, str]] = {}
         self.next = 0
 
+    def bound(self):
+        import socket
+
+        if self.socket is None:
+            self.socket = socket.socket(socket.AF_INET, socket.SOCK_DGRAM)
+            self.socket.bind(self.address)
+            self.socket.setblocking(False)
+        return self.socket
+
     def initialOffset(self):
         return {"n": 0}
 
     def read(self, start):
         for _ in range(self.most):
             try:
-                data, sender = self.socket.recvfrom(65_535)
+                data, sender = self.bound().recvfrom(65_535)
             except BlockingIOError:
                 break
             self.held[self.next] = (data.decode("utf-8", "replace").rstrip("\r\n"), sender[0])
