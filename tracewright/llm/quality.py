@@ -150,5 +150,38 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+ORACLE = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+f AS (
+  SELECT rid, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+w AS (SELECT rid, unnest(words) AS word, unnest(range(len(words))) AS i FROM f),
+five AS (
+  SELECT rid, i, word AS a, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c, lead(word, 3) OVER o AS d, lead(word, 4) OVER o AS e
+  FROM w WINDOW o AS (PARTITION BY rid ORDER BY i)),
+twice AS (
+  SELECT rid, i, e IS NOT NULL AND count(*) OVER (PARTITION BY rid, a, b, c, d, e) > 1 AS again FROM five),
+covered AS (
+  SELECT rid, max(CAST(again AS INT)) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS hit FROM twice),
+r AS (SELECT rid, sum(hit) AS n FROM covered GROUP BY rid),
+n AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+         len(lines) AS n_lines, len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) AS n_alpha_words,
+         len(regexp_extract_all(text, '\p{Lu}')) AS n_upper, len(regexp_extract_all(text, '\p{L}')) AS n_letters,
+         len(regexp_extract_all(text, '!')) AS n_marks
+  FROM f LEFT JOIN r ON r.rid = f.rid),
+v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM n)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR (n_lines >= 4 AND 10 * n_dup_lines > 3 * n_lines) OR 10 * n_alpha_words < 6 * n_words
+            OR 2 * n_upper > n_letters OR 2 * n_marks > n_words) AS kept
+FROM v
+"""
+
 QUERIES = {"op7_quality": op7_quality}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op7_quality": ORACLE}

@@ -244,5 +244,17 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(index, folder, partitions_for(pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS top FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d
+"""
+
 QUERIES = {"op4_warc": op4_warc}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op4_warc": ORACLE}
