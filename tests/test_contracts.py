@@ -4,6 +4,8 @@ import hashlib
 import hmac
 import json
 import math
+import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +128,25 @@ def test_many_events_of_one_microsecond_give_no_more_alerts(spark):
     assert {r.rule_name: (r.measure, r.event_count) for r in got} == {"PORT_SCAN_SWEEP": (5, 5), "BRUTE_FORCE_CAMPAIGN": (5, 5)} and len(got) == 2
     scan = json.loads(next(r.context for r in got if r.rule_name == "PORT_SCAN_SWEEP"))
     assert scan["scanned_ports"] == [20, 21, 22, 23, 24] and scan["port_count"] == 5 and len(scan["target_ips"]) == 5
+
+
+def test_cooldown_against_brute_force(spark):
+    r = random.Random(5)
+    times = {"steady": [k * 1_000_000 for k in range(70_000)], "none": [], "one": [7]}
+    for k in range(20):
+        at, times[f"e{k}"] = 0, []
+        for _ in range(r.randrange(1, 300)):
+            at += r.choice((0, 0, 1, 30_000_000, 59_999_999, 60_000_000, 60_000_001, 900_000_000))
+            times[f"e{k}"].append(at)
+    rows = [(e, t, t * 4096 + n, n) for e, ts in times.items() for n, t in enumerate(ts)]
+    found = spark.createDataFrame(rows, "entity string, __us long, __k long, ordinal long")
+    for cooldown in (0, 20, 60):
+        rule, want = replace(correlation.RULES["PORT_SCAN_SWEEP"], cooldown=cooldown), set()
+        for e, ts in times.items():
+            last = None
+            for n, t in enumerate(ts):
+                if last is None or t - last >= cooldown * 1_000_000:
+                    last = t
+                    want.add((e, n))
+        got = [(x.entity, x.ordinal) for x in correlation.thinned(found, rule).select("entity", "ordinal").collect()]
+        assert len(got) == len(want) and set(got) == want

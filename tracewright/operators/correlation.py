@@ -4,9 +4,9 @@ An entity is src_ip, else device_ip. Windows look back from an event, its own ti
 and the bound included. Range frames need an order: the key is microseconds times
 4096 plus the rank among the entity's events of that time, so a frame holds no
 later events of the same time. From the 4096th event of a microsecond on, events
-share the last rank and see each other. Cooldown is a fold over an entity's
-triggers of a rule: a trigger counts if at least the cooldown has passed since the
-last that counted. One shuffle by entity.
+share the last rank and see each other. Cooldown is a fold over each run of
+an entity's triggers of a rule: a trigger counts if at least the cooldown has passed
+since the last that counted. One shuffle by entity.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_WINDOW = 300
+#: Counted triggers in one list of a cooldown's fold.
+COUNTED = 1000
 BAD_ACTIONS = ("deny", "drop", "block", "alert")
 
 
@@ -135,15 +137,31 @@ def triggers(df: DataFrame, rule: Rule) -> DataFrame:
 def thinned(found: DataFrame, rule: Rule) -> DataFrame:
     """Triggers that no earlier counted one within the cooldown suppresses.
 
-    The fold gets only times and places of an entity's triggers (24 bytes each)."""
+    A trigger that comes at least the cooldown after the one before it always
+    counts, so an entity's triggers fall into runs that are folded apart. A fold
+    gets times and places (24 bytes each), of one microsecond only the first; what
+    it counts is held in lists of ``COUNTED``, so that its work stays linear.
+    """
     us = int(rule.cooldown * 1e6)
-    keep = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("__us", "__k", "ordinal"))),
-        F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<struct<k:bigint,o:bigint>>").alias("ks")),
-        lambda acc, x: F.when(acc["last"].isNull() | (x["__us"] - acc["last"] >= us), F.struct(x["__us"].alias("last"), F.concat(acc["ks"], F.array(F.struct(x["__k"].alias("k"), x["ordinal"].cast("bigint").alias("o")))).alias("ks"))).otherwise(acc),
-        lambda acc: acc["ks"],
-    )
-    keys = found.groupBy("entity").agg(keep.alias("ks")).select("entity", F.explode("ks").alias("__at")).select("entity", F.col("__at.k").alias("__k"), F.col("__at.o").alias("__o"))
+    line = Window.partitionBy("entity").orderBy("__us", "__k", "__o")
+    gap = F.col("__us") - F.lag("__us").over(line)
+    runs = found.select("entity", "__us", "__k", F.col("ordinal").cast("bigint").alias("__o")).withColumn("__gap", gap)
+    opens = F.coalesce(F.col("__gap") >= us, F.lit(True)).cast("int")
+    runs = runs.withColumn("__run", F.sum(opens).over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.where(F.col("__gap").isNull() | (F.col("__gap") > 0) | F.lit(us == 0))
+
+    def step(acc, x):
+        one = F.array(F.struct(x["__k"].alias("k"), x["__o"].alias("o")))
+        full = F.size(acc["ks"]) >= COUNTED
+        counted = F.struct(
+            x["__us"].alias("last"), F.when(full, one).otherwise(F.concat(acc["ks"], one)).alias("ks"),
+            F.when(full, F.concat(acc["done"], F.array(acc["ks"]))).otherwise(acc["done"]).alias("done"))
+        return F.when(acc["last"].isNull() | (x["__us"] - acc["last"] >= us), counted).otherwise(acc)
+
+    place = "array<struct<k:bigint,o:bigint>>"
+    start = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast(place).alias("ks"), F.array().cast(f"array<{place}>").alias("done"))
+    keep = F.aggregate(F.array_sort(F.collect_list(F.struct("__us", "__k", "__o"))), start, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["ks"]))))
+    keys = runs.groupBy("entity", "__run").agg(keep.alias("ks")).select("entity", F.explode("ks").alias("__at")).select("entity", F.col("__at.k").alias("__k"), F.col("__at.o").alias("__o"))
     return found.withColumn("__o", F.col("ordinal").cast("bigint")).join(keys, ["entity", "__k", "__o"]).drop("__o")
 
 
