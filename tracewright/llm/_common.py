@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import tempfile
 import uuid
@@ -75,13 +77,21 @@ def renamed(docs: DataFrame, *keep: str) -> DataFrame:
 _kept: dict = {}
 
 
+def freed() -> None:
+    """Drops what this Python worker keeps and gives its memory back to the system."""
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def kept(key: tuple, make):
     """What ``make`` gave for ``key``, kept by this Python worker for its later
     tasks. Only the last key's value is: a worker that goes on to another
     operator frees what the former one held."""
     if key not in _kept:
-        _kept.clear()
-        pa.default_memory_pool().release_unused()
+        freed()
         _kept[key] = make()
     return _kept[key]
 

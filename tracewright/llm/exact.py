@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import partitions_for, renamed, sliced, staged, table, without_ids
+from ._common import freed, partitions_for, renamed, sliced, staged, table, without_ids
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 KEY_BITS, WINDOW_BYTES, BUCKET = 64, 32 << 20, 64
@@ -106,6 +106,7 @@ def _rows(docs: DataFrame, owners: int, bits: int) -> DataFrame:
     """Documents (text null) and representatives (text and counts given)."""
 
     def run(batches):
+        freed()
         names = ["doc_id", "sha", "key", "owner", "n_top", "n", "text", "rep"]
         held: dict[bytes, list] = {}
         size = 0
@@ -116,7 +117,7 @@ def _rows(docs: DataFrame, owners: int, bits: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
         id_type = None
-        for b in batches:
+        for b in sliced(batches, 1):
             id_type = b.schema.field(0).type
             ids, shas = b.column(0).to_pylist(), []
             for i, t in zip(ids, b.column(1).to_pylist()):
@@ -148,6 +149,7 @@ def build_index(reps: DataFrame, owners: int, bucket: int = BUCKET) -> DataFrame
     it), chains (its length), keep_id, n_top, n, and the text where chains > 1."""
 
     def run(batches):
+        freed()
         own: dict[int, ExtendibleIndex] = {}
         id_type = pa.int64()
         skip = max(0, (owners - 1).bit_length() - 1)
