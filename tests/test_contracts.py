@@ -150,3 +150,12 @@ def test_cooldown_against_brute_force(spark):
                     want.add((e, n))
         got = [(x.entity, x.ordinal) for x in correlation.thinned(found, rule).select("entity", "ordinal").collect()]
         assert len(got) == len(want) and set(got) == want
+
+
+#: Most often that a line's expensive functions may stand in its parser's expression.
+ONCE = [("paloalto_threat", "regexp_extract_all", 1)]
+
+
+@pytest.mark.parametrize("name, function, most", ONCE)
+def test_a_line_is_searched_once(spark, name, function, most):
+    assert 1 <= str(parsers.parse(F.col("line"), name)).count(f"{function}(") <= most

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, MapType, StringType, StructField, StructType
 
 from . import fixed_values as V
+from .network import let
 
 MAP = "map<string,string>"
 XML = StructType([StructField("ok", BooleanType()), StructField("root", StringType()), StructField("flat", MapType(StringType(), StringType())), StructField("data", ArrayType(StructType([StructField("name", StringType()), StructField("value", StringType())])))])
@@ -91,18 +92,24 @@ def csv_fields(line: Column) -> Column:
     return F.transform(cells, lambda x: F.when(x.rlike('^".*"$'), F.replace(F.regexp_replace(x, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x))
 
 
-def _pan(line: Column, kind: str, nulls: list[str]):
-    f = csv_fields(F.trim(line))
-
+def _pan(f: Column, kind: str, nulls: list[str]):
     def get(k):
         v = F.trim(F.get(f, F.lit(k)))
         return F.when((v != "") & ~v.isin(*nulls), v)
 
-    return f, get, (F.size(f) >= 30) & (F.upper(F.trim(F.get(f, F.lit(3)))) == kind)
+    return get, (F.size(f) >= 30) & (F.upper(F.trim(F.get(f, F.lit(3)))) == kind)
 
 
 def paloalto_traffic(line: Column) -> Column:
-    f, get, ok = _pan(line, "TRAFFIC", ["0.0.0.0", "0"])
+    return _traffic(csv_fields(F.trim(line)))
+
+
+def paloalto_threat(line: Column) -> Column:
+    return let(csv_fields(F.trim(line)), _threat)
+
+
+def _traffic(f: Column) -> Column:
+    get, ok = _pan(f, "TRAFFIC", ["0.0.0.0", "0"])
     sub = F.lower(F.trim(F.get(f, F.lit(4))))
     action = F.coalesce(pick(F.lower(get(30)), V.PAN_ACTION), pick(sub, V.PAN_SUBTYPE, "unknown"))
     fields = merged(const(vendor="palo_alto", device_type="firewall", event_category="network", severity="informational"), pairs(timestamp_raw=get(1), src_ip=get(7), dst_ip=get(8), src_port=get(24), dst_port=get(25), protocol=F.lower(get(29)), event_action=action, username=get(12)))
@@ -110,8 +117,8 @@ def paloalto_traffic(line: Column) -> Column:
     return result(ok, fields, extra, "no TRAFFIC line of 30 fields")
 
 
-def paloalto_threat(line: Column) -> Column:
-    _, get, ok = _pan(line, "THREAT", ["0.0.0.0", "0", "any", "unknown"])
+def _threat(f: Column) -> Column:
+    get, ok = _pan(f, "THREAT", ["0.0.0.0", "0", "any", "unknown"])
     sev = F.lower(F.coalesce(get(60), F.lit("")))
     level = pick(sev, V.PAN_SEVERITY, "medium")
     fields = merged(const(vendor="palo_alto", device_type="ids_ips", event_category="threat"), pairs(timestamp_raw=get(1), src_ip=get(7), dst_ip=get(8), src_port=get(24), dst_port=get(25), protocol=F.lower(get(29)), event_action=pick(F.lower(get(30)), V.PAN_ACTION, "alert"), username=get(12), threat_signature_id=get(58), threat_name=get(59), severity=level, severity_label=sev))
