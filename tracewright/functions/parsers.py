@@ -101,7 +101,7 @@ def _pan(f: Column, kind: str, nulls: list[str]):
 
 
 def paloalto_traffic(line: Column) -> Column:
-    return _traffic(csv_fields(F.trim(line)))
+    return let(csv_fields(F.trim(line)), _traffic)
 
 
 def paloalto_threat(line: Column) -> Column:
