@@ -153,9 +153,20 @@ def test_cooldown_against_brute_force(spark):
 
 
 #: Most often that a line's expensive functions may stand in its parser's expression.
-ONCE = [("paloalto_threat", "regexp_extract_all", 1), ("paloalto_traffic", "regexp_extract_all", 1)]
+ONCE = [("paloalto_threat", "regexp_extract_all", 1), ("paloalto_traffic", "regexp_extract_all", 1), ("syslog", "regexp_extract", 50)]
 
 
 @pytest.mark.parametrize("name, function, most", ONCE)
 def test_a_line_is_searched_once(spark, name, function, most):
     assert 1 <= str(parsers.parse(F.col("line"), name)).count(f"{function}(") <= most
+
+
+@pytest.mark.parametrize("line", ["<13>1 2024 h a - - - src=1.2.3.4 x", "<13>1 2024 h a - - - \x1fsrc=1.2.3.4 \x1f x", "no match"])
+def test_groups_of_one_run(spark, line):
+    """Also for texts that hold the mark between groups."""
+    import re
+
+    for regex, n in ((parsers.V.SYSLOG_5424, 8), (parsers.NET, 5)):
+        got = spark.createDataFrame([(line,)], "line string").select(parsers.groups(F.col("line"), regex, n).alias("g")).first().g
+        m = re.search(regex, line)
+        assert got == (m and [x or "" for x in m.groups()])

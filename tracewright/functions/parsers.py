@@ -19,7 +19,35 @@ XML = StructType([StructField("ok", BooleanType()), StructField("root", StringTy
 
 def part(line: Column, regex: str, k: int) -> Column:
     """A group of the first match; null where it is absent or empty."""
-    return F.nullif(F.regexp_extract(line, regex, k), F.lit(""))
+    return let(F.regexp_extract(line, regex, k), full)
+
+
+def full(value: Column) -> Column:
+    return F.when(value != "", value)
+
+
+#: Stands between the groups of a match; a text that holds it is matched group by group.
+MARK = "\x1f"
+
+
+def groups(text: Column, regex: str, n: int) -> Column:
+    """The n > 1 groups of the first match, "" for absent ones, by one run of the
+    regex; null where nothing matches. A regex that begins with ^ has no
+    alternatives without it."""
+    before = "" if regex.removeprefix("(?i)").removeprefix("(?s)").startswith("^") else r"^[\s\S]*?"
+    whole = rf"{before}(?:{regex})[\s\S]*$"
+
+    def of(t: Column) -> Column:
+        once = let(F.split(F.regexp_replace(t, whole, MARK.join(f"${k}" for k in range(1, n + 1))), MARK, -1), lambda a: F.when(F.size(a) == n, a))
+        each = F.when(t.rlike(regex), F.array(*[F.regexp_extract(t, regex, k) for k in range(1, n + 1)]))
+        return F.when(t.contains(MARK), each).otherwise(once)
+
+    return let(text, of)
+
+
+def group(found: Column, k: int) -> Column:
+    """Group k of :func:`groups`; null where it is absent or empty."""
+    return full(F.get(found, F.lit(k - 1)))
 
 
 def pairs(**cols) -> Column:
@@ -171,38 +199,47 @@ NET = rf"(?i)(?:src|source|from)[=:\s]+([\d.]+)(?:[:/](\d+))?|(?:dst|dest|destin
 
 
 def _network(text: Column) -> Column:
-    each = F.transform(F.regexp_extract_all(text, F.lit(NET), F.lit(0)), lambda m: F.struct(*[part(m, NET, k).alias(n) for k, n in enumerate(("si", "sp", "di", "dp", "lone"), 1)]))
-    last = lambda n: F.try_element_at(F.filter(F.transform(each, lambda x: x[n]), lambda v: v.isNotNull()), F.lit(-1))
-    lone = F.filter(F.transform(each, lambda x: x["lone"]), lambda v: v.isNotNull())
-    return pairs(src_ip=F.coalesce(last("si"), F.get(lone, F.lit(0))), src_port=last("sp"), dst_ip=F.coalesce(last("di"), F.get(lone, F.lit(1))), dst_port=last("dp"))
+    def of(each: Column) -> Column:
+        some = lambda k: F.filter(F.transform(each, lambda g: group(g, k)), lambda v: v.isNotNull())
+        last = lambda k: F.try_element_at(some(k), F.lit(-1))
+        return let(some(5), lambda lone: pairs(src_ip=F.coalesce(last(1), F.get(lone, F.lit(0))), src_port=last(2), dst_ip=F.coalesce(last(3), F.get(lone, F.lit(1))), dst_port=last(4)))
+
+    return let(F.transform(F.regexp_extract_all(text, F.lit(NET), F.lit(0)), lambda m: groups(m, NET, 5)), of)
 
 
 def _key_values(text: Column) -> Column:
-    keys, values = F.regexp_extract_all(text, F.lit(V.SYSLOG_PAIR), F.lit(1)), F.regexp_extract_all(text, F.lit(V.SYSLOG_PAIR), F.lit(3))
-    return compact(F.zip_with(keys, values, lambda k, v: F.struct(pick(F.lower(k), V.SYSLOG_KEYS, F.lower(k)).alias("key"), v.alias("value"))))
+    def entry(m: Column) -> Column:
+        word, value = F.lower(F.substring_index(m, "=", 1)), F.substring(m, F.instr(m, F.lit("=")) + 1, F.length(m))
+        bare = lambda v: F.when(F.substring(v, 1, 1).isin("'", '"'), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
+        return F.struct(let(word, lambda w: pick(w, V.SYSLOG_KEYS, w)).alias("key"), let(value, bare).alias("value"))
+
+    return compact(F.transform(F.regexp_extract_all(text, F.lit(V.SYSLOG_PAIR), F.lit(0)), entry))
 
 
 def syslog(line: Column) -> Column:
     """Later sources of a field win: header, key=value, addresses, action word."""
-    s = F.trim(line)
-    is5, is3, is3y = s.rlike(V.SYSLOG_5424), s.rlike(V.SYSLOG_3164), s.rlike(V.SYSLOG_3164_YEAR)
-    pri = part(s, r"^<(\d{1,3})>", 1).try_cast("int")
-    code = pri.bitwiseAND(7)
-    level, score = F.get(F.array(*map(F.lit, V.SYSLOG_LEVELS)), code), F.get(F.array(*map(F.lit, V.SYSLOG_SCORES)), code)
-    head = pairs(priority=pri, facility=F.shiftright(pri, 3), syslog_severity=level, severity=score, severity_label=level)
-
-    def old(regex):
-        tag, msg = F.coalesce(part(s, regex, 4), F.lit("")), F.trim(F.regexp_extract(s, regex, 5))
-        both = F.concat(tag, F.lit(": "), msg)
-        return pairs(timestamp_raw=part(s, regex, 2), device_hostname=part(s, regex, 3), tag=tag, message=F.regexp_replace(both, "^[: ]+|[: ]+$", "")), F.concat_ws(" ", tag, msg)
-
-    m5 = F.trim(F.regexp_extract(s, V.SYSLOG_5424, 8))
-    f5 = pairs(timestamp_raw=part(s, V.SYSLOG_5424, 3), device_hostname=part(s, V.SYSLOG_5424, 4), app_name=part(s, V.SYSLOG_5424, 5), message=m5)
-    (f3, t3), (fy, ty) = old(V.SYSLOG_3164), old(V.SYSLOG_3164_YEAR)
-    own = F.when(is5, f5).when(is3, f3).when(is3y, fy).otherwise(pairs(message=s))
-    text = F.when(is5, m5).when(is3, t3).when(is3y, ty).otherwise(s)
-    act = F.lower(part(text, "(?i)" + V.SYSLOG_ACTIONS, 1))
-    return result(s.startswith("<"), merged(head, own, _key_values(text), _network(text), pairs(event_action=act)), None, "no syslog line")
+
+    def of(x: Column) -> Column:
+        s, pri, g5, g3, gy = (x[n] for n in ("s", "pri", "g5", "g3", "gy"))
+        is5, is3, is3y = g5.isNotNull(), g3.isNotNull(), gy.isNotNull()
+        code = pri.bitwiseAND(7)
+        level, score = F.get(F.array(*map(F.lit, V.SYSLOG_LEVELS)), code), F.get(F.array(*map(F.lit, V.SYSLOG_SCORES)), code)
+        head = pairs(priority=pri, facility=F.shiftright(pri, 3), syslog_severity=level, severity=score, severity_label=level)
+
+        def old(g):
+            tag, msg = F.coalesce(group(g, 4), F.lit("")), F.trim(F.get(g, F.lit(4)))
+            both = F.concat(tag, F.lit(": "), msg)
+            return pairs(timestamp_raw=group(g, 2), device_hostname=group(g, 3), tag=tag, message=F.regexp_replace(both, "^[: ]+|[: ]+$", "")), F.concat_ws(" ", tag, msg)
+
+        m5 = F.trim(F.get(g5, F.lit(7)))
+        f5 = pairs(timestamp_raw=group(g5, 3), device_hostname=group(g5, 4), app_name=group(g5, 5), message=m5)
+        (f3, t3), (fy, ty) = old(g3), old(gy)
+        own = F.when(is5, f5).when(is3, f3).when(is3y, fy).otherwise(pairs(message=s))
+        text = F.when(is5, m5).when(is3, t3).when(is3y, ty).otherwise(s)
+        found = let(text, lambda t: merged(_key_values(t), _network(t), pairs(event_action=F.lower(part(t, "(?i)" + V.SYSLOG_ACTIONS, 1)))))
+        return result(s.startswith("<"), merged(head, own, found), None, "no syslog line")
+
+    return let(F.trim(line), lambda s: let(F.struct(s.alias("s"), part(s, r"^<(\d{1,3})>", 1).try_cast("int").alias("pri"), groups(s, V.SYSLOG_5424, 8).alias("g5"), groups(s, V.SYSLOG_3164, 5).alias("g3"), groups(s, V.SYSLOG_3164_YEAR, 5).alias("gy")), of))
 
 
 # JSON --------------------------------------------------------------------
