@@ -186,12 +186,15 @@ def leef(line: Column) -> Column:
 
 def snort_alert(line: Column) -> Column:
     """A line with the marker alone still succeeds, with what can be found."""
-    s = F.trim(line)
-    g = lambda k: part(s, V.SNORT_LINE, k)
-    base = const(event_category="threat", vendor="snort_suricata", device_type="ids_ips")
-    whole = merged(base, pairs(timestamp_raw=g(1), action=F.lower(F.trim(F.coalesce(g(2), F.lit("alert")))), threat_signature_id=g(3), threat_name=F.trim(g(4)), classification=g(5), priority=F.coalesce(g(6), F.lit("")), severity=pick(g(6), V.SNORT_PRIORITY, "unknown"), severity_label=F.concat(F.lit("Priority "), g(6)), protocol=F.lower(g(7)), src_ip=g(8), src_port=g(9), dst_ip=g(10), dst_port=g(11)))
-    some = merged(base, pairs(raw_message=s, threat_signature_id=part(s, r"\[(\d+:\d+:\d+)\]", 1), threat_name=F.trim(part(s, r"\[\*\*\]\s+(?:\[\d+:\d+:\d+\]\s+)?([^\[]+?)\s+\[\*\*\]", 1))))
-    return result(s.contains("[**]"), F.when(s.rlike(V.SNORT_LINE), whole).otherwise(some), None, "no alert marker")
+
+    def of(x: Column) -> Column:
+        s, g = x["s"], lambda k: group(x["g"], k)
+        base = const(event_category="threat", vendor="snort_suricata", device_type="ids_ips")
+        whole = merged(base, pairs(timestamp_raw=g(1), action=F.lower(F.trim(F.coalesce(g(2), F.lit("alert")))), threat_signature_id=g(3), threat_name=F.trim(g(4)), classification=g(5), priority=F.coalesce(g(6), F.lit("")), severity=pick(g(6), V.SNORT_PRIORITY, "unknown"), severity_label=F.concat(F.lit("Priority "), g(6)), protocol=F.lower(g(7)), src_ip=g(8), src_port=g(9), dst_ip=g(10), dst_port=g(11)))
+        some = merged(base, pairs(raw_message=s, threat_signature_id=part(s, r"\[(\d+:\d+:\d+)\]", 1), threat_name=F.trim(part(s, r"\[\*\*\]\s+(?:\[\d+:\d+:\d+\]\s+)?([^\[]+?)\s+\[\*\*\]", 1))))
+        return result(s.contains("[**]"), F.when(x["g"].isNotNull(), whole).otherwise(some), None, "no alert marker")
+
+    return let(F.trim(line), lambda s: let(F.struct(s.alias("s"), groups(s, V.SNORT_LINE, 11).alias("g")), of))
 
 
 # syslog ------------------------------------------------------------------
