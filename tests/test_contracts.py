@@ -153,7 +153,7 @@ def test_cooldown_against_brute_force(spark):
 
 
 #: Most often that a line's expensive functions may stand in its parser's expression.
-ONCE = [("paloalto_threat", "regexp_extract_all", 1), ("paloalto_traffic", "regexp_extract_all", 1), ("syslog", "regexp_extract", 50), ("snort_alert", "regexp_extract", 13)]
+ONCE = [("paloalto_threat", "regexp_extract_all", 1), ("paloalto_traffic", "regexp_extract_all", 1), ("syslog", "regexp_extract", 50), ("snort_alert", "regexp_extract", 13), ("aws_cloudtrail", "get_json_object", 3)]
 
 
 @pytest.mark.parametrize("name, function, most", ONCE)

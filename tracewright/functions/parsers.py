@@ -259,32 +259,43 @@ CJ = "event_category sub_key timestamp src_ip src_port user_agent language metad
 
 
 def cj_json_array(line: Column) -> Column:
-    s = F.trim(line)
-    a = F.from_json(s, "array<string>")
-    ok = s.startswith("[") & F.try_parse_json(s).isNotNull() & (F.size(a) == len(CJ))
-    return result(F.coalesce(ok, F.lit(False)), pairs(**{n: F.get(a, F.lit(k)) for k, n in enumerate(CJ)}), None, "no array of 8 values")
+    def of(x: Column) -> Column:
+        s, a = x["s"], x["a"]
+        ok = s.startswith("[") & F.try_parse_json(s).isNotNull() & (F.size(a) == len(CJ))
+        return result(F.coalesce(ok, F.lit(False)), pairs(**{n: F.get(a, F.lit(k)) for k, n in enumerate(CJ)}), None, "no array of 8 values")
+
+    return let(F.trim(line), lambda s: let(F.struct(s.alias("s"), F.from_json(s, "array<string>").alias("a")), of))
+
+
+TRAIL = "struct<eventName string, eventSource string, eventTime string, eventID string, eventType string, awsRegion string, sourceIPAddress string, userAgent string, errorCode string, errorMessage string, requestParameters string, userIdentity struct<userName string, principalId string, arn string, accountId string, type string>>"
 
 
 def aws_cloudtrail(line: Column) -> Column:
     """The first record of a line: of a wrapper, an array, or an object itself."""
-    s = F.trim(line)
-    rec = F.coalesce(F.get_json_object(s, "$.Records[0]"), F.when(s.startswith("["), F.get_json_object(s, "$[0]")), F.when(~s.rlike(r'"Records"\s*:'), s))
-    g = lambda p: F.get_json_object(rec, "$." + p)
-    full = lambda c: F.nullif(c, F.lit(""))
-    name, source, err = F.coalesce(g("eventName"), F.lit("")), F.coalesce(g("eventSource"), F.lit("")), full(g("errorCode"))
-    who = F.coalesce(full(g("userIdentity.userName")), full(g("userIdentity.principalId")), full(F.substring_index(g("userIdentity.arn"), "/", -1)))
-    ip = full(g("sourceIPAddress"))
-    level = F.when(err.isin(*V.TRAIL_HIGH_ERRORS) | name.rlike(f"^(?:{'|'.join(V.TRAIL_HIGH)})"), "high").when(name.rlike(f"^(?:{'|'.join(V.TRAIL_MEDIUM)})"), "medium").otherwise("informational")
-    category = F.when(source.rlike("iam|sts|cognito"), "authentication").when(err.isin(*V.TRAIL_THREAT_ERRORS), "threat").otherwise("network")
-    fields = merged(const(vendor="amazon_aws", device_type="generic"), pairs(timestamp_raw=g("eventTime"), src_ip=F.when(~ip.startswith("AWS"), ip), user_agent=full(g("userAgent")), username=who, threat_signature_id=name, threat_name=F.concat(F.lit("AWS:"), name), event_action=F.when(err.isNull(), "allow").otherwise(pick(err, V.TRAIL_ERRORS, "alert")), event_category=category, severity=level, severity_label=F.coalesce(err, F.lit("success"))))
-    extra = pairs(event_id_cloudtrail=g("eventID"), event_source=source, aws_region=g("awsRegion"), account_id=g("userIdentity.accountId"), identity_type=g("userIdentity.type"), event_type=g("eventType"), error_code=err, error_message=full(g("errorMessage")), request_parameters=g("requestParameters"))
-    return result(F.try_parse_json(s).isNotNull() & F.coalesce(rec.startswith("{"), F.lit(False)), fields, extra, "no CloudTrail record")
+
+    def of(x: Column) -> Column:
+        r, who_ = x["r"], x["r"]["userIdentity"]
+        name, source, err = F.coalesce(r["eventName"], F.lit("")), F.coalesce(r["eventSource"], F.lit("")), full(r["errorCode"])
+        who = F.coalesce(full(who_["userName"]), full(who_["principalId"]), full(F.substring_index(who_["arn"], "/", -1)))
+        ip = full(r["sourceIPAddress"])
+        level = F.when(err.isin(*V.TRAIL_HIGH_ERRORS) | name.rlike(f"^(?:{'|'.join(V.TRAIL_HIGH)})"), "high").when(name.rlike(f"^(?:{'|'.join(V.TRAIL_MEDIUM)})"), "medium").otherwise("informational")
+        category = F.when(source.rlike("iam|sts|cognito"), "authentication").when(err.isin(*V.TRAIL_THREAT_ERRORS), "threat").otherwise("network")
+        fields = merged(const(vendor="amazon_aws", device_type="generic"), pairs(timestamp_raw=r["eventTime"], src_ip=F.when(~ip.startswith("AWS"), ip), user_agent=full(r["userAgent"]), username=who, threat_signature_id=name, threat_name=F.concat(F.lit("AWS:"), name), event_action=F.when(err.isNull(), "allow").otherwise(pick(err, V.TRAIL_ERRORS, "alert")), event_category=category, severity=level, severity_label=F.coalesce(err, F.lit("success"))))
+        extra = pairs(event_id_cloudtrail=r["eventID"], event_source=source, aws_region=r["awsRegion"], account_id=who_["accountId"], identity_type=who_["type"], event_type=r["eventType"], error_code=err, error_message=full(r["errorMessage"]), request_parameters=r["requestParameters"])
+        return result(x["ok"], fields, extra, "no CloudTrail record")
+
+    def record(y: Column) -> Column:
+        ok = F.try_parse_json(y["s"]).isNotNull() & F.coalesce(y["rec"].startswith("{"), F.lit(False))
+        return let(F.struct(ok.alias("ok"), F.from_json(y["rec"], TRAIL).alias("r")), of)
+
+    # "$" writes an object as the paths do, so that nested texts are the same for all three
+    first = lambda s: F.coalesce(F.get_json_object(s, "$.Records[0]"), F.when(s.startswith("["), F.get_json_object(s, "$[0]")), F.when(~s.rlike(r'"Records"\s*:'), F.get_json_object(s, "$")))
+    return let(F.trim(line), lambda s: let(F.struct(s.alias("s"), first(s).alias("rec")), record))
 
 
 def csv_row(line: Column, header: list[str]) -> Column:
     """A data line under the header of its file; widths must agree."""
-    f = csv_fields(F.trim(line))
-    return result(F.size(f) == len(header), pairs(**{h.strip(): F.nullif(F.trim(F.get(f, F.lit(k))), F.lit("")) for k, h in enumerate(header)}), None, "column count mismatch")
+    return let(csv_fields(F.trim(line)), lambda f: result(F.size(f) == len(header), pairs(**{h.strip(): F.nullif(F.trim(F.get(f, F.lit(k))), F.lit("")) for k, h in enumerate(header)}), None, "column count mismatch"))
 
 
 # XML ---------------------------------------------------------------------
