@@ -98,19 +98,24 @@ ADDRESS = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 
 
 def cisco_asa(line: Column) -> Column:
-    s = F.trim(line)
-    level, msg, body = part(s, ASA, 1), part(s, ASA, 2), F.trim(F.regexp_extract(s, ASA, 3))
-    full = F.regexp_extract_all(body, F.lit(rf"\w+:({ADDRESS})/\d+"), F.lit(1))
-    ports = F.regexp_extract_all(body, F.lit(rf"\w+:{ADDRESS}/(\d+)"), F.lit(1))
-    bare = F.regexp_extract_all(body, F.lit(rf"\w+:({ADDRESS})"), F.lit(1))
-    none = F.size(full) == 0
     at = lambda a, k: F.get(a, F.lit(k))
-    action = F.when(body.rlike("(?i)" + V.ASA_DENY), "deny").when(body.rlike("(?i)" + V.ASA_ALLOW), "allow").otherwise("unknown")
-    fields = merged(
-        const(vendor="cisco", device_type="firewall", event_category="network"),
-        pairs(threat_signature_id=msg, threat_name=pick(F.substring(msg, 1, 3), V.ASA_NAMES, F.concat(F.lit("ASA Message "), msg)), severity=pick(level, ASA_LEVEL, "unknown"), severity_label=level, event_action=action,
-              protocol=F.lower(part(body, r"(?i)\b(tcp|udp|icmp|gre|esp|ah)\b", 1)), src_ip=F.when(none, at(bare, 0)).otherwise(at(full, 0)), src_port=at(ports, 0), dst_ip=F.when(none, at(bare, 1)).otherwise(at(full, 1)), dst_port=at(ports, 1)))
-    return result(s.rlike(ASA), fields, pairs(asa_body=body, asa_msg_id=msg), "no %ASA marker")
+
+    def of(x: Column) -> Column:
+        level, msg, body, found, ports, bare = (x[n] for n in ("level", "msg", "body", "full", "ports", "bare"))
+        none = F.size(found) == 0
+        action = F.when(body.rlike("(?i)" + V.ASA_DENY), "deny").when(body.rlike("(?i)" + V.ASA_ALLOW), "allow").otherwise("unknown")
+        fields = merged(
+            const(vendor="cisco", device_type="firewall", event_category="network"),
+            pairs(threat_signature_id=msg, threat_name=pick(F.substring(msg, 1, 3), V.ASA_NAMES, F.concat(F.lit("ASA Message "), msg)), severity=pick(level, ASA_LEVEL, "unknown"), severity_label=level, event_action=action,
+                  protocol=F.lower(part(body, r"(?i)\b(tcp|udp|icmp|gre|esp|ah)\b", 1)), src_ip=F.when(none, at(bare, 0)).otherwise(at(found, 0)), src_port=at(ports, 0), dst_ip=F.when(none, at(bare, 1)).otherwise(at(found, 1)), dst_port=at(ports, 1)))
+        return result(x["ok"], fields, pairs(asa_body=body, asa_msg_id=msg), "no %ASA marker")
+
+    def parts(y: Column) -> Column:
+        g, body, all_ = y["g"], y["body"], lambda regex: F.regexp_extract_all(y["body"], F.lit(regex), F.lit(1))
+        return let(F.struct(y["ok"].alias("ok"), group(g, 1).alias("level"), group(g, 2).alias("msg"), body.alias("body"), all_(rf"\w+:({ADDRESS})/\d+").alias("full"), all_(rf"\w+:{ADDRESS}/(\d+)").alias("ports"), all_(rf"\w+:({ADDRESS})").alias("bare")), of)
+
+    s = F.trim(line)
+    return let(groups(s, ASA, 3), lambda g: let(F.struct(F.when(line.isNotNull(), g.isNotNull()).alias("ok"), g.alias("g"), F.trim(F.get(g, F.lit(2))).alias("body")), parts))
 
 
 # Palo Alto ---------------------------------------------------------------
@@ -157,28 +162,40 @@ def _threat(f: Column) -> Column:
 
 
 def cef(line: Column) -> Column:
-    s = F.trim(line)
-    ext = F.regexp_extract(s, V.CEF_LINE, 8)
-    keys, values = F.regexp_extract_all(ext, F.lit(V.CEF_PAIR), F.lit(1)), F.regexp_extract_all(ext, F.lit(V.CEF_PAIR), F.lit(2))
-    entries = F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), F.trim(v).alias("value")))
-    known, other = routed(entries, V.CEF_KEYS)
-    g = lambda k: F.regexp_extract(s, V.CEF_LINE, k)
-    head = pairs(cef_version=g(1), vendor=g(2), device_product=g(3), device_version=g(4), threat_signature_id=g(5), threat_name=g(6), severity=F.trim(g(7)), severity_label=F.trim(g(7)))
-    return result(s.rlike(V.CEF_LINE), merged(head, known), other, "no CEF header")
+    def of(g: Column) -> Column:
+        at = lambda k: F.get(g, F.lit(k - 1))
+        head = pairs(cef_version=at(1), vendor=at(2), device_product=at(3), device_version=at(4), threat_signature_id=at(5), threat_name=at(6), severity=F.trim(at(7)), severity_label=F.trim(at(7)))
+
+        def entries(ext: Column) -> Column:
+            keys, values = F.regexp_extract_all(ext, F.lit(V.CEF_PAIR), F.lit(1)), F.regexp_extract_all(ext, F.lit(V.CEF_PAIR), F.lit(2))
+            return F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), F.trim(v).alias("value")))
+
+        def body(e: Column) -> Column:
+            known, other = routed(e, V.CEF_KEYS)
+            return result(F.when(line.isNotNull(), g.isNotNull()), merged(head, known), other, "no CEF header")
+
+        return let(let(at(8), entries), body)
+
+    return let(groups(F.trim(line), V.CEF_LINE, 8), of)
 
 
 def leef(line: Column) -> Column:
-    s = F.trim(line)
-    g = lambda k: F.regexp_extract(s, V.LEEF_LINE, k)
-    raw = F.trim(g(6))
-    hexa = F.conv(F.regexp_extract(raw, r"^0[xX]([0-9A-Fa-f]+)$", 1), 16, 10).try_cast("int")
-    mark = F.when(raw == "", "\t").when(hexa.isNotNull(), F.char(hexa)).when(raw.rlike("^0[xX]"), "\t").otherwise(pick(raw, {"\\t": "\t", "\\n": "\n", "\\r": "\r", "\\|": "|"}, raw))
-    quoted = F.concat(F.lit("\\Q"), mark, F.lit("\\E"))
-    attrs = F.filter(F.split(g(7), quoted, -1), lambda x: x.contains("="))
-    entries = F.transform(attrs, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("key"), F.trim(F.substring(x, F.instr(x, F.lit("=")) + 1, F.length(x))).alias("value")))
-    known, other = routed(entries, V.LEEF_KEYS)
-    head = pairs(leef_version=g(1), vendor=g(2), device_product=g(3), device_version=g(4), threat_signature_id=g(5))
-    return result(s.rlike(V.LEEF_LINE), merged(head, known), other, "no LEEF header")
+    def of(g: Column) -> Column:
+        at = lambda k: F.get(g, F.lit(k - 1))
+        raw = F.trim(at(6))
+        hexa = F.conv(F.regexp_extract(raw, r"^0[xX]([0-9A-Fa-f]+)$", 1), 16, 10).try_cast("int")
+        mark = let(hexa, lambda n: F.when(raw == "", "\t").when(n.isNotNull(), F.char(n)).when(raw.rlike("^0[xX]"), "\t").otherwise(pick(raw, {"\\t": "\t", "\\n": "\n", "\\r": "\r", "\\|": "|"}, raw)))
+        attrs = F.filter(F.split(at(7), F.concat(F.lit("\\Q"), mark, F.lit("\\E")), -1), lambda x: x.contains("="))
+        entries = F.transform(attrs, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("key"), F.trim(F.substring(x, F.instr(x, F.lit("=")) + 1, F.length(x))).alias("value")))
+        head = pairs(leef_version=at(1), vendor=at(2), device_product=at(3), device_version=at(4), threat_signature_id=at(5))
+
+        def body(e: Column) -> Column:
+            known, other = routed(e, V.LEEF_KEYS)
+            return result(F.when(line.isNotNull(), g.isNotNull()), merged(head, known), other, "no LEEF header")
+
+        return let(entries, body)
+
+    return let(groups(F.trim(line), V.LEEF_LINE, 7), of)
 
 
 # Snort -------------------------------------------------------------------
@@ -247,12 +264,14 @@ def syslog(line: Column) -> Column:
 
 # JSON --------------------------------------------------------------------
 def json_object(line: Column) -> Column:
-    s = F.trim(line)
-    all_ = F.from_json(s, MAP)
-    nested = lambda k, v: v.startswith("{")
-    ok = s.startswith("{") & s.endswith("}") & all_.isNotNull() & F.try_parse_json(s).isNotNull()
-    some = F.map_filter(all_, lambda k, v: v.isNotNull())
-    return result(ok, F.map_filter(some, lambda k, v: ~nested(k, v)), F.map_filter(some, nested), "no JSON object")
+    def of(x: Column) -> Column:
+        s, all_ = x["s"], x["all"]
+        nested = lambda k, v: v.startswith("{")
+        ok = s.startswith("{") & s.endswith("}") & all_.isNotNull() & F.try_parse_json(s).isNotNull()
+        some = F.map_filter(all_, lambda k, v: v.isNotNull())
+        return result(ok, F.map_filter(some, lambda k, v: ~nested(k, v)), F.map_filter(some, nested), "no JSON object")
+
+    return let(F.trim(line), lambda s: let(F.struct(s.alias("s"), F.from_json(s, MAP).alias("all")), of))
 
 
 CJ = "event_category sub_key timestamp src_ip src_port user_agent language metadata".split()

@@ -51,7 +51,8 @@ def parsed(lines: DataFrame, format_name: str | None = None) -> DataFrame:
     line = F.col("line")
 
     def unpack(df: DataFrame, p: Column) -> DataFrame:
-        return df.withColumn("__p", p).select("*", "__p.success", "__p.fields", "__p.extra", "__p.error").drop("__p")
+        # a generator, since a filter on success would be pushed below a projection and parse again
+        return df.select("*", F.inline(F.array(p)))
 
     if format_name == "csv":
         first = lines.groupBy("source_file").agg(F.min_by("line", "ordinal").alias("__head"), F.min("ordinal").alias("__first"))
