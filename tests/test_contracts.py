@@ -170,3 +170,17 @@ def test_groups_of_one_run(spark, line):
         got = spark.createDataFrame([(line,)], "line string").select(parsers.groups(F.col("line"), regex, n).alias("g")).first().g
         m = re.search(regex, line)
         assert got == (m and [x or "" for x in m.groups()])
+
+
+@pytest.mark.parametrize("name", ["enrich_events"])
+def test_user_ids_beyond_two_octets_equal_sql(spark, tmp_path, name):
+    """Ids that the fixed text of client_ip does not hold as an address."""
+    import duckdb
+
+    from tracewright.plans import oracles, registry
+
+    db, path = duckdb.connect(), f"{tmp_path}/events.parquet"
+    db.sql("CREATE TABLE events AS SELECT i AS event_id, TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * i AS ts, i * 40009 AS user_id, 'view' AS event_type, 1.5::DOUBLE AS value, '{\"k\": ' || i % 100 || '}' AS props FROM range(400) t(i)")
+    db.sql(f"COPY events TO '{path}' (FORMAT parquet)")
+    got = [tuple(r) for r in registry.QUERIES[name](spark, str(tmp_path)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, db.sql(oracles.ORACLES[name]).fetchall())) and got

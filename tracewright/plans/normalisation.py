@@ -11,7 +11,7 @@ from ..functions import enrichment, fixed_values, labels, mapping, network, pars
 from ..operators import aggregation, batch, ml, profiling
 from ..sources import logs, sinks
 from . import pipeline
-from .adapter import CANONICAL_SQL, SQL, canonical, structured
+from .adapter import CANONICAL_SQL, SQL, addressed, canonical, structured
 from .analytics import CW, HOURLY, SW, WITH_L, WITH_V, labelled, query, viewed
 
 WITH_C = f"WITH {SQL}, {CANONICAL_SQL}"
@@ -186,7 +186,7 @@ def technique_mapping(spark, d):
  CASE WHEN bad THEN 'DE' ELSE 'INTERNAL' END AS src_country, NOT bad AS is_src_private, 'US' AS dst_country FROM (SELECT *, {K} AS k, {K} % 3 = 0 AS bad FROM c)""")
 def enrich_events(spark, d):
     null = lambda t: F.lit(None).cast(t)
-    c = canonical(spark, d).withColumn("k", F.expr(K)).withColumns({"src_ip": F.expr("if(k % 3 = 0, '185.220.101.5', src_ip)")})
+    c = canonical(spark, d, addressed(spark, d)).withColumn("k", F.expr(K)).withColumns({"src_ip": F.expr("if(k % 3 = 0, '185.220.101.5', src_ip)")})
     c = c.withColumns({n: null(t) for n, t in mapping.CANONICAL.items() if n not in c.columns}).withColumns({"threat_intel_score": null("double"), "is_malicious": null("boolean"), "weak_label": F.expr("if(k % 2 = 0, 'uncertain', 'benign')"), "label_confidence": F.expr("k / 100.0D")})
     e = enrichment.enrich(c)
     return e.select("ordinal", "threat_intel_score", "weak_label", "label_confidence", "src_country", "is_src_private", "dst_country")
