@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import crypto, labels, network
 from ..operators import aggregation as agg
 from ..operators import batch, correlation, features, profiling
-from .adapter import CANONICAL_SQL, SQL, TEST_FROM, VALIDATION_FROM, canonical, structured
+from .adapter import CANONICAL_SQL, SQL, TEST_FROM, VALIDATION_FROM, addressed, canonical, structured
 
 KEY = b"tracewright"
 
@@ -313,7 +313,7 @@ ANY_IP = "CASE k % 6 WHEN 0 THEN concat('127.0.0.', k) WHEN 1 THEN concat('8.8.4
 
 @query(f"WITH {SQL} SELECT CASE kind WHEN 0 THEN 'loopback' WHEN 1 THEN 'public' WHEN 2 THEN 'other' WHEN 3 THEN 'invalid' ELSE 'private' END AS ip_class, count(DISTINCT ip) AS n FROM (SELECT {ANY_IP} AS ip, k % 6 AS kind FROM s) GROUP BY 1")
 def ip_classes(spark, d):
-    ips = structured(spark, d).select(F.expr(ANY_IP).alias("ip")).distinct()
+    ips = addressed(spark, d).select(F.expr(ANY_IP).alias("ip")).distinct()
     return ips.groupBy(network.ip_class(F.col("ip")).alias("ip_class")).agg(F.count(F.lit(1)).alias("n"))
 
 
