@@ -172,7 +172,7 @@ def test_groups_of_one_run(spark, line):
         assert got == (m and [x or "" for x in m.groups()])
 
 
-@pytest.mark.parametrize("name", ["enrich_events", "ip_classes"])
+@pytest.mark.parametrize("name", ["enrich_events", "ip_classes", "ip_versions"])
 def test_user_ids_beyond_two_octets_equal_sql(spark, tmp_path, name):
     """Ids that the fixed text of client_ip does not hold as an address."""
     import duckdb

@@ -269,7 +269,7 @@ def training_quantiles(spark, d):
 
 @query(f"WITH {SQL} SELECT ip_version, count(*) AS n FROM (SELECT CASE k % 3 WHEN 0 THEN 4 WHEN 1 THEN 6 END::BIGINT AS ip_version FROM s) GROUP BY 1")
 def ip_versions(spark, d):
-    ips = structured(spark, d).select(F.expr("CASE k % 3 WHEN 0 THEN client_ip WHEN 1 THEN concat('2001:db8::', k) ELSE '300.1.1.1' END").alias("ip"))
+    ips = addressed(spark, d).select(F.expr("CASE k % 3 WHEN 0 THEN client_ip WHEN 1 THEN concat('2001:db8::', k) ELSE '300.1.1.1' END").alias("ip"))
     return ips.groupBy(network.ip_version(F.col("ip")).alias("ip_version")).agg(F.count(F.lit(1)).alias("n"))
 
 
